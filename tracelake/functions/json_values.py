@@ -53,7 +53,7 @@ def typed_from_json(kind: Column, text: Column, data_type: Column) -> Column:
             continue
         wide = "decimal(38,0)"
         fits = (data_type == t.name) & is_number & number.between(
-            F.lit(t.low).cast(wide), F.lit(t.high).cast(wide)
+            F.lit(str(t.low)).cast(wide), F.lit(str(t.high)).cast(wide)
         )
         if t.slot == "i":
             i = F.when(fits, number.try_cast("bigint")).otherwise(i)
@@ -64,7 +64,8 @@ def typed_from_json(kind: Column, text: Column, data_type: Column) -> Column:
         (data_type == "timestamp[ns]")
         & is_number
         & number.between(
-            F.lit(ts_type.low).cast("decimal(38,0)"), F.lit(ts_type.high).cast("decimal(38,0)")
+            F.lit(str(ts_type.low)).cast("decimal(38,0)"),
+            F.lit(str(ts_type.high)).cast("decimal(38,0)"),
         ),
         number.try_cast("bigint"),
     )

@@ -50,7 +50,7 @@ def latest_values(log: DataFrame) -> DataFrame:
     keys = ["segment_id", "source", "message", "signal"]
     # (time_ns, seq) as one number: seq is below 10**19, and 38 digits hold both
     wide = "decimal(38,0)"
-    shift = F.lit(10**19).cast("decimal(20,0)")
+    shift = F.lit(str(10**19)).cast("decimal(20,0)")
     rank = (F.col("time_ns").cast("decimal(19,0)") * shift).cast(wide) + F.col("seq").cast(wide)
     events = log.where(F.col("kind") == EVENT)
     names = events.select(
@@ -64,7 +64,7 @@ def latest_values(log: DataFrame) -> DataFrame:
     winners = (
         names.groupBy(*keys)
         .agg(F.max(rank.cast(wide)).alias("rank"))
-        .select(*keys, F.pmod("rank", F.lit(10**19).cast(wide)).cast("bigint").alias("seq"))
+        .select(*keys, F.pmod("rank", shift.cast(wide)).cast("bigint").alias("seq"))
     )
     side = settle(winners)
     picked = lookup_join(events, side.df.select("seq").distinct(), ["seq"], "left_semi")

@@ -13,7 +13,7 @@ from tracelake.functions.identifiers import (
     table_name,
 )
 from tracelake.operators.catalog import Catalog, signal_values, signals
-from tracelake.plans.joins import lookup_join
+from tracelake.plans.joins import lookup_join, settle
 
 # The text form of a signal key, segment-or-* / source / message . signal
 KEY_PATTERN = r"\A([*\w-]+)/([^/.]+)/([^.]+)\.([^\n]+)\z"
@@ -68,14 +68,29 @@ def resolve(signal_rows: DataFrame, keys: DataFrame) -> DataFrame:
         *[c for c in keys.columns if c not in ("segment_id", "error")],
         F.col("segment_id").alias("_key_segment"),
     )
-    return lookup_join(
-        signal_rows.where("is_first"),
-        wanted,
-        ["source", "message", "signal"],
-        spread_by="data_segment_id",
-        residual=lambda left, right: right["_key_segment"].isNull()
-        | (right["_key_segment"] == left["data_segment_id"]),
-    ).drop("_key_segment")
+    parts = ["source", "message", "signal"]
+    found = signal_rows.where("is_first")
+
+    def same_segment(left: DataFrame, right: DataFrame) -> Column:
+        by_key, by_signal = (
+            (left, right) if "_key_segment" in left.columns else (right, left)
+        )
+        return by_key["_key_segment"].isNull() | (
+            by_key["_key_segment"] == by_signal["data_segment_id"]
+        )
+
+    side = settle(wanted)
+    if side.broadcastable:
+        joined = lookup_join(
+            found, side, parts, spread_by="data_segment_id", residual=same_segment
+        )
+    else:
+        # more keys than fit: then the catalog is the side worth measuring
+        spread = side.df.withColumn("_spread", F.monotonically_increasing_id())
+        joined = lookup_join(
+            spread, found, parts, spread_by="_spread", residual=same_segment
+        ).drop("_spread")
+    return joined.drop("_key_segment")
 
 
 def signal_json(catalog: Catalog) -> DataFrame:
