@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tracelake.functions.types import type_of
-from tracelake.model import INTEGER_TYPES, VALUE_DDL, VALUE_TYPES
+from tracelake.model import INTEGER_TYPES, VALUE_TYPES
 
 _SLOTS = (
     ("i", "bigint"),
@@ -27,7 +27,10 @@ def value_struct(tag: Column, **slots: Column) -> Column:
     """Typed value from a tag column and the slots that are set."""
     parts = [tag.cast("string").alias("tag")]
     for slot, ddl in _SLOTS:
-        parts.append(slots.get(slot, F.lit(None)).cast(ddl).alias(slot))
+        if slot in slots:
+            parts.append(slots[slot].cast(ddl).alias(slot))
+        else:
+            parts.append(F.expr(f"CAST(NULL AS {ddl}) AS {slot}"))
     return F.struct(*parts)
 
 
@@ -39,8 +42,13 @@ def typed(data_type: str, content: Column) -> Column:
     return value_struct(F.lit(kind.name), **{kind.slot: content})
 
 
-def null_value() -> Column:
-    return F.lit(None).cast(VALUE_DDL)
+def value_sql(data_type: str, content: str) -> str:
+    """SQL text of :func:`typed`, for jobs written as SQL."""
+    kind = type_of(data_type)
+    parts = [f"'tag', '{kind.name}'"]
+    for slot, ddl in _SLOTS:
+        parts.append(f"'{slot}', CAST({content if slot == kind.slot else 'NULL'} AS {ddl})")
+    return f"named_struct({', '.join(parts)})"
 
 
 def field(name: str, value: Column) -> Column:
@@ -86,58 +94,51 @@ def as_type(value: Column, data_type: str) -> Column:
     return F.when(value["tag"] == kind.name, value[kind.slot].cast(kind.spark))
 
 
-def _digits_plain(text: Column) -> Column:
-    """Spark's number text without exponent and without a trailing ``.0``."""
-    negative = text.startswith("-")
-    body = F.regexp_replace(text, r"\A-", "")
-    mantissa = F.substring_index(body, "E", 1)
-    power = F.substring_index(body, "E", -1).try_cast("int")
-    whole = F.substring_index(mantissa, ".", 1)
-    fraction = F.regexp_replace(F.substring_index(mantissa, ".", -1), r"0+\z", "")
-    digits = F.concat(whole, fraction)
-    # position of the decimal point inside ``digits``
-    point = F.length(whole) + power
+def _float_magnitude(value: Column) -> Column:
+    """Spark's text of the absolute number, in the precision of the tag."""
+    f = F.abs(value["f"])
+    return F.when(value["tag"] == "float32", f.cast("float").cast("string")).otherwise(
+        f.cast("string")
+    )
+
+
+def float_text(value: Column) -> Column:
+    """A float value as plain decimal digits: ``3``, ``0.0000001``, ``inf``, ``NaN``.
+
+    Spark writes large and small numbers as ``d.dddE<power>``; the digits are
+    moved around the point here.
+    """
+    text = _float_magnitude(value)
+    digits = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0\z|\.", "")
+    power = F.substring_index(text, "E", -1).try_cast("int")
     large = F.concat(
-        F.rpad(F.substring(digits, F.lit(1), point), point, F.lit("0")),
+        F.rpad(F.substring(digits, F.lit(1), power + 1), power + 1, F.lit("0")),
         F.when(
-            F.length(digits) > point,
-            F.concat(F.lit("."), F.substring(digits, point + 1, F.length(digits))),
+            F.length(digits) > power + 1, F.concat(F.lit("."), F.substring(digits, power + 2, F.lit(20)))
         ).otherwise(F.lit("")),
     )
-    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits)
-    scaled = F.when(point > 0, large).otherwise(small)
-    plain = F.regexp_replace(body, r"\.0\z", "")
-    out = F.when(body.contains("E"), scaled).otherwise(plain)
-    return F.concat(F.when(negative, F.lit("-")).otherwise(F.lit("")), out)
-
-
-def float_text(number: Column) -> Column:
-    """Float or double as decimal digits: ``3``, ``0.0000001``, ``inf``, ``NaN``."""
-    text = number.cast("string")
-    return (
-        F.when(F.isnan(number), F.lit("NaN"))
-        .when(text == "Infinity", F.lit("inf"))
-        .when(text == "-Infinity", F.lit("-inf"))
-        .otherwise(_digits_plain(text))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    plain = F.regexp_replace(text, r"\.0\z", "")
+    magnitude = (
+        F.when(text == "Infinity", F.lit("inf"))
+        .when(~text.contains("E"), plain)
+        .when(power > 0, large)
+        .otherwise(small)
     )
+    negative = value["f"].cast("string").startswith("-")
+    return F.concat(F.when(negative, F.lit("-")).otherwise(F.lit("")), magnitude)
 
 
 def render(value: Column) -> Column:
-    """Text of a value."""
-    tag = value["tag"]
-    return (
-        F.when(tag == "float32", float_text(value["f"].cast("float")))
-        .when(tag == "float64", float_text(value["f"]))
-        .when(tag == "binary", base64_text(value["bin"]))
-        .when(tag == "bool", value["b"].cast("string"))
-        .otherwise(
-            F.coalesce(
-                value["i"].cast("string"),
-                value["u"].cast("string"),
-                value["ts"].cast("string"),
-                value["s"],
-            )
-        )
+    """Text of a value (T3). Exactly one slot is set, so the first one found is it."""
+    return F.coalesce(
+        value["i"].cast("string"),
+        value["s"],
+        value["u"].cast("string"),
+        value["ts"].cast("string"),
+        value["b"].cast("string"),
+        base64_text(value["bin"]),
+        float_text(value),
     )
 
 
@@ -146,20 +147,15 @@ def canonical_key(value: Column) -> Column:
 
     Doubles go through their text so that the sign of zero is kept.
     """
-    tag = value["tag"]
-    return (
-        F.when(tag == "float32", value["f"].cast("float").cast("string"))
-        .when(tag == "float64", value["f"].cast("string"))
-        .when(tag == "binary", F.hex(value["bin"]))
-        .otherwise(
-            F.coalesce(
-                value["i"].cast("string"),
-                value["u"].cast("string"),
-                value["ts"].cast("string"),
-                value["s"],
-                value["b"].cast("string"),
-            )
-        )
+    single = value["f"].cast("float").cast("string")
+    return F.coalesce(
+        value["i"].cast("string"),
+        value["s"],
+        value["u"].cast("string"),
+        value["ts"].cast("string"),
+        value["b"].cast("string"),
+        F.hex(value["bin"]),
+        F.when(value["tag"] == "float32", single).otherwise(value["f"].cast("string")),
     )
 
 

@@ -680,3 +680,25 @@ SELECT event_id, ns, (ns - ((ns % 1000) + 1000) % 1000) // 1000 AS micros,
 FROM moved
 """),
 }
+
+# The streaming twins end in the same tables as their batch forms.
+ORACLE["stream_catalog"] = ORACLE["signals"]
+ORACLE["stream_route"] = ORACLE["filter_route"]
+ORACLE["stream_ingest"] = ORACLE["publish_status"]
+ORACLE["stream_store"] = _with("""
+SELECT s.segment_id, s.source, s.start_time_ns, s.end_time_ns, count(*) AS messages,
+       CAST(sum(e.seq) AS BIGINT) AS sum_seq
+FROM cat_segments s JOIN envelopes e USING (segment_id)
+GROUP BY s.segment_id, s.source, s.start_time_ns, s.end_time_ns
+""")
+
+ORACLE["wire_round_trip"] = _with("""
+, texts AS (
+  SELECT seq, string_agg(signal || ':' || tag || ':' || shown, ',' ORDER BY
+           CASE signal WHEN 'value' THEN 0 WHEN 'user_id' THEN 1 WHEN 'state' THEN 2 ELSE 3 END
+         ) AS content
+  FROM sample_text GROUP BY seq
+)
+SELECT e.segment_id, e.source_name, e.kind, e.time_ns, e.name, e.items, t.content
+FROM envelopes e LEFT JOIN texts t ON t.seq = e.seq AND e.kind = 'event'
+""")

@@ -26,16 +26,25 @@ from tracelake.model import (
     ALL_KINDS,
     EVENT,
     LOG_COLUMNS,
+    LOG_DDL,
     PAYLOAD_DDL,
-    SEGMENT_END,
-    SEGMENT_START,
     VALUE_TYPES,
 )
 from tracelake.operators import batching, catalog, conformance, filters, samples, signals
 from tracelake.operators import subscriptions as subs
 from tracelake.plans.sample_log import read_events, sample_log
-from tracelake.sources import batches
+from tracelake.sources import batches, wire
+from tracelake.session import new_folder
 from tracelake.sources.catalog_rows import signals_from_rows
+from tracelake.streaming.catalog_stream import read_catalog, start_catalog_stream
+from tracelake.streaming.routing_stream import delivered, start_routing
+from tracelake.streaming.store import (
+    start_ingest,
+    start_store,
+    stored_catalog,
+    stored_log,
+    stored_status,
+)
 
 # Fixed values of the query set.
 LATE_AT = 60_000
@@ -527,15 +536,42 @@ def subscriber_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def emit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = F.coalesce(
-        F.when(F.col("kind") == "event_schema", F.size("event_schema.fields")),
-        F.when(F.col("kind") == "named_values", F.size("named_values.values")),
-        F.when(F.col("kind") == EVENT, F.size("event.fields")),
+def wire_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log as serialized batches and back, in the layout of ``emit_rows``."""
+    numbered = batching.number_batches(sample_log(spark, sf_dir), ["source_name"])
+    packed = batching.gather_batches(numbered, ["source_name"])
+    payloads = wire.encode_batches(packed).select(
+        F.col("source_name").alias("stream_id"), "batch_no", "payload"
+    )
+    checked = batches.check_messages(batches.flatten_batches(wire.decode_batches(payloads)))
+    log = batches.accepted(checked)
+    return log.select(
+        "segment_id", "source_name", "kind", _time_of_message().alias("time_ns"),
+        _name_of_message().alias("name"), _items().alias("items"),
+        F.array_join(
+            F.transform(
+                "event.fields",
+                lambda f: F.concat_ws(":", f["name"], f["value"]["tag"], render(f["value"])),
+            ),
+            ",",
+        ).alias("content"),
+    )
+
+
+def _items() -> Column:
+    return _big(
+        F.coalesce(
+            F.when(F.col("kind") == "event_schema", F.size("event_schema.fields")),
+            F.when(F.col("kind") == "named_values", F.size("named_values.values")),
+            F.when(F.col("kind") == EVENT, F.size("event.fields")),
+        )
     )
+
+
+def emit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample_log(spark, sf_dir).select(
         "seq", "segment_id", "source_name", "kind", _time_of_message().alias("time_ns"),
-        _name_of_message().alias("name"), _big(items).alias("items"),
+        _name_of_message().alias("name"), _items().alias("items"),
     )
 
 
@@ -692,6 +728,66 @@ def time_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- streams ---------------------------------------------------------------
+
+
+def _log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived log as a stream of files, several of them per micro-batch."""
+    path = new_folder(spark, "log-stream")
+    sample_log(spark, sf_dir).repartition(8, "segment_id").write.parquet(path)
+    return spark.readStream.schema(LOG_DDL).option("maxFilesPerTrigger", 3).parquet(path)
+
+
+def stream_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = new_folder(spark, "catalog")
+    stream = start_catalog_stream(
+        _log_stream(spark, sf_dir), root, new_folder(spark, "catalog-offsets")
+    )
+    stream.awaitTermination()
+    return _signal_columns(read_catalog(spark, root))
+
+
+def stream_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = new_folder(spark, "store")
+    stream = start_store(_log_stream(spark, sf_dir), root, new_folder(spark, "store-offsets"))
+    stream.awaitTermination()
+    per_kind = stored_log(spark, root).groupBy("segment_id").agg(
+        F.count("*").alias("messages"), F.sum("seq").alias("sum_seq")
+    )
+    return (
+        stored_catalog(spark, root)
+        .segments.select("segment_id", "source", "start_time_ns", "end_time_ns")
+        .join(per_kind, "segment_id")
+    )
+
+
+def stream_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = new_folder(spark, "routed")
+    stream = start_routing(
+        _log_stream(spark, sf_dir),
+        _route_filters(spark, sf_dir),
+        root,
+        new_folder(spark, "routed-offsets"),
+    )
+    stream.awaitTermination()
+    return delivered(spark, root).groupBy("subscriber_id", "segment_id", "kind").agg(
+        F.count("*").alias("copies"), F.sum("seq").alias("sum_seq")
+    )
+
+
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status per stream after ingesting the wire batches from files."""
+    path, root = new_folder(spark, "wire-batches"), new_folder(spark, "lake")
+    _wire_batches(spark, sf_dir).repartition(4).write.parquet(path)
+    stream = start_ingest(
+        batches.stream_batches(spark, path, maxFilesPerTrigger=2),
+        root,
+        new_folder(spark, "lake-offsets"),
+    )
+    stream.awaitTermination()
+    return stored_status(spark, root)
+
+
 QUERIES = {
     "segments_fold": segments_fold,
     "segments_fold_from": segments_fold_from,
@@ -725,6 +821,7 @@ QUERIES = {
     "strict_publish_status": strict_publish_status,
     "publish_batches": publish_batches,
     "subscriber_responses": subscriber_responses,
+    "wire_round_trip": wire_round_trip,
     "emit_rows": emit_rows,
     "catalog_rows": catalog_rows,
     "json_to_log": json_to_log,
@@ -735,4 +832,8 @@ QUERIES = {
     "distinct_values": distinct_values,
     "catalog_types": catalog_types,
     "time_columns": time_columns,
+    "stream_catalog": stream_catalog,
+    "stream_store": stream_store,
+    "stream_route": stream_route,
+    "stream_ingest": stream_ingest,
 }

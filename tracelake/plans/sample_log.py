@@ -8,12 +8,9 @@ the schema, and wrong tags. ``user_id % 16`` makes the segments.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from pyspark.sql import DataFrame, SparkSession
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from tracelake.functions.values import field, typed, value_struct
+from tracelake.functions.values import value_sql
 from tracelake.sources.emit import (
     emit_end,
     emit_events,
@@ -23,199 +20,153 @@ from tracelake.sources.emit import (
     union_log,
 )
 
-SEGMENTS = 16
-EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+SEGMENT = "'00000000-0000-7000-8000-' || lpad(CAST(k AS STRING), 12, '0') AS segment_id"
+SOURCE = "'src' || CAST(k % 4 AS STRING) AS source_name"
 STATES = ((0, "IDLE"), (1, "INIT"), (2, "RUNNING"), (3, "ERROR"))
 
 
-def _k() -> Column:
-    return F.col("k")
-
-
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events with segment, source and nanosecond time."""
-    micros = F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), "ts")
-    k = (F.col("user_id") % SEGMENTS).alias("k")
     return (
         spark.read.parquet(f"{sf_dir}/events.parquet")
-        .select("*", k, (micros * 1000).alias("time_ns"))
-        .withColumns({"segment_id": _segment(_k()), "source_name": _source(_k())})
-    )
-
-
-def _segment(k: Column) -> Column:
-    return F.concat(F.lit("00000000-0000-7000-8000-"), F.lpad(k.cast("string"), 12, "0"))
-
-
-def _source(k: Column) -> Column:
-    return F.concat(F.lit("src"), (k % 4).cast("string"))
-
-
-def _ends_of_segments(events: DataFrame) -> DataFrame:
-    return (
-        events.groupBy("k")
-        .agg(F.min("time_ns").alias("lo"), F.max("time_ns").alias("hi"))
-        .withColumns({"segment_id": _segment(_k()), "source_name": _source(_k())})
+        .selectExpr(
+            "*",
+            "user_id % 16 AS k",
+            "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) * 1000 AS time_ns",
+        )
+        .selectExpr("*", SEGMENT, SOURCE)
     )
 
 
-def _several(rows: DataFrame, cases: Sequence[tuple[Column, dict[str, Column]]]) -> DataFrame:
-    """One output row per case that holds, with the case's columns."""
-    items = [
-        F.when(holds, F.struct(*[c.alias(name) for name, c in columns.items()]))
-        for holds, columns in cases
-    ]
-    present = F.filter(F.array(*items), lambda x: x.isNotNull())
-    keep = [c for c in rows.columns if c not in cases[0][1]]
-    return rows.select(*keep, F.explode(present).alias("_m")).select(*keep, "_m.*")
+def _cases(rows: DataFrame, *cases: str) -> DataFrame:
+    """One output row per non-null struct among ``cases``."""
+    return rows.selectExpr("k", f"inline(filter(array({', '.join(cases)}), x -> x IS NOT NULL))")
 
 
 def start_messages(events: DataFrame) -> DataFrame:
-    lo, own = F.col("lo"), F.col("source_name")
-    second = F.lit(1_000_000_000)
-    rows = _several(
-        _ends_of_segments(events),
-        [
-            (_k() % 8 != 5, {"seq": _k(), "time_ns": lo, "source_name": own}),
-            (
-                _k() % 4 == 0,
-                {"seq": _k() + 100, "time_ns": lo - second, "source_name": F.concat(own, F.lit("b"))},
-            ),
-            (
-                _k() == 8,
-                {"seq": _k() + 200, "time_ns": lo + 7, "source_name": F.lit("src0c")},
-            ),
-        ],
+    def start(holds: str, seq: str, time_ns: str, source: str) -> str:
+        return (
+            f"CASE WHEN {holds} THEN named_struct('seq', {seq}, 'time_ns', {time_ns}, "
+            f"'source_name', 'src' || {source}) END"
+        )
+
+    first = events.groupBy("k").agg({"time_ns": "min"}).toDF("k", "lo")
+    own = "CAST(k % 4 AS STRING)"
+    rows = _cases(
+        first,
+        start("k % 8 <> 5", "k", "lo", own),
+        start("k % 4 = 0", "k + 100", "lo - 1000000000", f"{own} || 'b'"),
+        start("k = 8", "k + 200", "lo + 7", "'0c'"),
     )
-    return emit_start(rows)
+    return emit_start(rows.selectExpr("*", SEGMENT))
 
 
 def end_messages(events: DataFrame) -> DataFrame:
-    hi = F.col("hi")
-    rows = _several(
-        _ends_of_segments(events),
-        [
-            (_k() % 8 != 7, {"seq": _k() + 1_000_000_000, "time_ns": hi}),
-            (_k() % 5 == 0, {"seq": _k() + 1_000_000_100, "time_ns": hi - 5_000_000_000}),
-        ],
+    def end(holds: str, seq: str, time_ns: str) -> str:
+        return f"CASE WHEN {holds} THEN named_struct('seq', {seq}, 'time_ns', {time_ns}) END"
+
+    last = events.groupBy("k").agg({"time_ns": "max"}).toDF("k", "hi")
+    rows = _cases(
+        last,
+        end("k % 8 <> 7", "k + 1000000000", "hi"),
+        end("k % 5 = 0", "k + 1000000100", "hi - 5000000000"),
     )
-    return emit_end(rows)
+    return emit_end(rows.selectExpr("*", SEGMENT, SOURCE))
 
 
-def _definition(name: str, data_type: str, unit: str | None = None) -> Column:
-    return F.struct(
-        F.lit(name).alias("name"),
-        F.lit(data_type).alias("data_type"),
-        F.lit(unit).cast("string").alias("unit"),
+def _definition(name: str, data_type: str, unit: str = "NULL") -> str:
+    return (
+        f"named_struct('name', '{name}', 'data_type', '{data_type}', 'unit', "
+        f"CAST({unit} AS STRING))"
     )
 
 
 def schema_messages(events: DataFrame) -> DataFrame:
-    names = F.array(*[F.lit(t) for t in EVENT_TYPES])
-    per_name = events.select("k", F.col("event_type").alias("event_name")).distinct()
+    names = "array('click', 'error', 'purchase', 'signup', 'view')"
+    fields = ", ".join(
+        (
+            _definition("value", "float64", "'USD'"),
+            _definition("user_id", "int64"),
+            _definition("state", "uint8"),
+        )
+    )
     first = (
-        per_name.where((_k() != 13) | (F.col("event_name") != "signup"))
-        .withColumns(
-            {
-                "seq": F.lit(299) + _k() * 5 + F.array_position(names, F.col("event_name")),
-                "fields": F.array(
-                    _definition("value", "float64", "USD"),
-                    _definition("user_id", "int64"),
-                    _definition("state", "uint8"),
-                ),
-            }
+        events.select("k", "event_type")
+        .distinct()
+        .where("k <> 13 OR event_type <> 'signup'")
+        .selectExpr(
+            "k",
+            "event_type AS event_name",
+            f"299 + k * 5 + array_position({names}, event_type) AS seq",
+            f"array({fields}) AS fields",
         )
     )
     again = (
         events.select("k")
         .distinct()
-        .where(_k() % 2 == 0)
-        .withColumns(
-            {
-                "event_name": F.lit("view"),
-                "seq": _k() + 400,
-                "fields": F.array(_definition("value", "float32", "EUR")),
-            }
+        .where("k % 2 = 0")
+        .selectExpr(
+            "k",
+            "'view' AS event_name",
+            "k + 400 AS seq",
+            f"array({_definition('value', 'float32', repr('EUR'))}) AS fields",
         )
     )
-    rows = first.unionByName(again)
-    return emit_schemas(
-        rows.withColumns({"segment_id": _segment(_k()), "source_name": _source(_k())})
-    )
+    return emit_schemas(first.unionByName(again).selectExpr("*", SEGMENT, SOURCE))
 
 
-def _entry(data_type: str, key, label: str) -> Column:
-    return F.struct(typed(data_type, F.lit(key)).alias("value"), F.lit(label).alias("label"))
+def _table(*entries: tuple[str, object, str]) -> str:
+    return ", ".join(
+        f"named_struct('value', {value_sql(kind, repr(key))}, 'label', '{label}')"
+        for kind, key, label in entries
+    )
 
 
 def value_table_messages(events: DataFrame) -> DataFrame:
-    states = F.array(*[_entry("uint8", key, label) for key, label in STATES])
-
-    def message(seq: Column, event: str, name: str, entries: Column) -> dict[str, Column]:
-        return {
-            "seq": seq,
-            "event_name": F.lit(event),
-            "field_name": F.lit(name),
-            "values": entries,
-        }
-
-    always = F.lit(True)
-    rows = _several(
+    def message(holds: str, seq: str, event: str, name: str, entries: str) -> str:
+        return (
+            f"CASE WHEN {holds} THEN named_struct('seq', {seq}, 'event_name', '{event}', "
+            f"'field_name', '{name}', 'values', array({entries})) END"
+        )
+
+    states = _table(*[("uint8", key, label) for key, label in STATES])
+    failed = _table(("uint8", 3, "FAULT"), ("uint8", 3, "FAILED"))
+    rows = _cases(
         events.select("k").distinct(),
-        [
-            (always, message(_k() + 250, "error", "state", F.array(_entry("uint8", 9, "LOST")))),
-            (always, message(_k() + 500, "error", "state", states)),
-            (always, message(_k() + 520, "view", "state", states)),
-            (
-                _k() % 3 == 0,
-                message(
-                    _k() + 600,
-                    "error",
-                    "state",
-                    F.array(_entry("uint8", 3, "FAULT"), _entry("uint8", 3, "FAILED")),
-                ),
-            ),
-            (
-                _k() == 4,
-                message(F.lit(620) + 0 * _k(), "view", "state", F.array(_entry("string", "x", "TEXT"))),
-            ),
-            (
-                _k() == 2,
-                message(F.lit(640) + 0 * _k(), "view", "nope", F.array(_entry("uint8", 0, "Z"))),
-            ),
-            (
-                _k() == 6,
-                message(F.lit(660) + 0 * _k(), "click", "value", F.array(_entry("string", "a", "A"))),
-            ),
-        ],
-    )
-    return emit_value_tables(
-        rows.withColumns({"segment_id": _segment(_k()), "source_name": _source(_k())})
+        message("true", "k + 250", "error", "state", _table(("uint8", 9, "LOST"))),
+        message("true", "k + 500", "error", "state", states),
+        message("true", "k + 520", "view", "state", states),
+        message("k % 3 = 0", "k + 600", "error", "state", failed),
+        message("k = 4", "k + 616", "view", "state", _table(("string", "x", "TEXT"))),
+        message("k = 2", "k + 638", "view", "nope", _table(("uint8", 0, "Z"))),
+        message("k = 6", "k + 654", "click", "value", _table(("string", "a", "A"))),
     )
+    return emit_value_tables(rows.selectExpr("*", SEGMENT, SOURCE))
 
 
 def event_messages(events: DataFrame) -> DataFrame:
-    odd = (F.col("event_type") == "error") & (F.col("event_id") % 10 == 0)
-    state = value_struct(
-        F.when(odd, F.lit("int16")).otherwise(F.lit("uint8")), i=F.col("event_id") % 4
-    )
-    fields = F.array(
-        field("value", typed("float64", F.col("value"))),
-        field("user_id", typed("int64", F.col("user_id"))),
-        field("state", state),
+    def entry(name: str, value: str) -> str:
+        return f"named_struct('name', '{name}', 'value', {value})"
+
+    odd = "event_type = 'error' AND event_id % 10 = 0"
+    state = value_sql("uint8", "event_id % 4").replace(
+        "'tag', 'uint8'", f"'tag', CASE WHEN {odd} THEN 'int16' ELSE 'uint8' END"
     )
-    extra = F.array(
-        field("k", typed("int64", F.get_json_object("props", "$.k").cast("bigint")))
+    always = ", ".join(
+        (
+            entry("value", value_sql("float64", "value")),
+            entry("user_id", value_sql("int64", "user_id")),
+            entry("state", state),
+        )
     )
-    rows = events.select(
-        (F.col("event_id") * 10 + 10_000).alias("seq"),
+    extra = entry("k", value_sql("int64", "get_json_object(props, '$.k')"))
+    rows = events.selectExpr(
+        "event_id * 10 + 10000 AS seq",
         "segment_id",
         "source_name",
         "time_ns",
-        F.col("event_type").alias("event_name"),
-        F.when(F.col("event_type") == "purchase", F.concat(fields, extra))
-        .otherwise(fields)
-        .alias("fields"),
+        "event_type AS event_name",
+        f"IF(event_type = 'purchase', array({always}, {extra}), array({always})) AS fields",
     )
     return emit_events(rows)
 

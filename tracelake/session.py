@@ -21,6 +21,8 @@ def build_session(app_name: str = "tracelake", master: str | None = None, **conf
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # recording the Python call site of every column costs more than planning
+        "spark.sql.dataFrameQueryContext.enabled": "false",
         **conf,
     }
     for key, value in settings.items():

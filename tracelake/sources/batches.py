@@ -180,6 +180,7 @@ def publish_status(checked: DataFrame) -> DataFrame:
         F.coalesce(F.max_by("error", F.when(bad, F.col("last_seq"))), F.lit("")).alias(
             "last_error"
         ),
+        F.max(F.when(bad, F.col("last_seq"))).alias("last_error_seq"),
     )
 
 

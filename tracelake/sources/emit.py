@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.functions.times import now_ns
 from tracelake.model import (
     EVENT,
     EVENT_SCHEMA,
@@ -18,31 +17,31 @@ from tracelake.model import (
 from tracelake.operators.conformance import dedupe_schema_fields
 
 
-def _message(rows: DataFrame, kind: str, payload: Column) -> DataFrame:
-    columns = {k: F.lit(None).cast(ddl) for k, ddl in PAYLOAD_DDL.items()}
-    columns[kind] = payload.cast(PAYLOAD_DDL[kind])
-    return rows.select(
-        F.col("seq").cast("bigint").alias("seq"),
-        "segment_id",
-        "source_name",
-        F.lit(kind).alias("kind"),
-        *[c.alias(k) for k, c in columns.items()],
+def _message(rows: DataFrame, kind: str, payload: str) -> DataFrame:
+    """Rows in the log's layout; ``payload`` is the SQL of the kind's struct."""
+    slots = [
+        f"CAST({payload if k == kind else 'NULL'} AS {ddl}) AS {k}"
+        for k, ddl in PAYLOAD_DDL.items()
+    ]
+    return rows.selectExpr(
+        "CAST(seq AS BIGINT) AS seq", "segment_id", "source_name", f"'{kind}' AS kind", *slots
     )
 
 
-def _time(rows: DataFrame) -> Column:
-    return F.coalesce(F.col("time_ns"), now_ns()) if "time_ns" in rows.columns else now_ns()
+def _time(rows: DataFrame) -> str:
+    now = "unix_micros(current_timestamp()) * 1000"
+    return f"coalesce(time_ns, {now})" if "time_ns" in rows.columns else now
 
 
 def emit_start(rows: DataFrame) -> DataFrame:
     """Start messages from (seq, segment_id, source_name[, time_ns])."""
-    body = F.struct(_time(rows).alias("time_ns"), F.col("source_name").alias("source_name"))
+    body = f"named_struct('time_ns', {_time(rows)}, 'source_name', source_name)"
     return _message(rows, SEGMENT_START, body)
 
 
 def emit_end(rows: DataFrame) -> DataFrame:
     """End messages from (seq, segment_id, source_name[, time_ns])."""
-    return _message(rows, SEGMENT_END, F.struct(_time(rows).alias("time_ns")))
+    return _message(rows, SEGMENT_END, f"named_struct('time_ns', {_time(rows)})")
 
 
 def emit_schemas(rows: DataFrame) -> DataFrame:
@@ -50,15 +49,14 @@ def emit_schemas(rows: DataFrame) -> DataFrame:
 
     A field defined twice keeps its last definition, as in the schema builder.
     """
-    body = F.struct(
-        F.col("event_name").alias("name"), dedupe_schema_fields(F.col("fields")).alias("fields")
-    )
-    return _message(rows, EVENT_SCHEMA, body)
+    rows = rows.withColumn("fields", dedupe_schema_fields(F.col("fields")))
+    return _message(rows, EVENT_SCHEMA, "named_struct('name', event_name, 'fields', fields)")
 
 
 def emit_value_tables(rows: DataFrame) -> DataFrame:
     """Value tables from (seq, segment_id, source_name, event_name, field_name, values)."""
-    return _message(rows, NAMED_VALUES, F.struct("event_name", "field_name", "values"))
+    body = "named_struct('event_name', event_name, 'field_name', field_name, 'values', `values`)"
+    return _message(rows, NAMED_VALUES, body)
 
 
 def emit_events(rows: DataFrame) -> DataFrame:
@@ -66,7 +64,7 @@ def emit_events(rows: DataFrame) -> DataFrame:
 
     A missing time is the time of the job.
     """
-    body = F.struct(_time(rows).alias("time_ns"), F.col("event_name").alias("name"), "fields")
+    body = f"named_struct('time_ns', {_time(rows)}, 'name', event_name, 'fields', fields)"
     return _message(rows, EVENT, body)
 
 
