@@ -8,13 +8,14 @@ message is valid is decided afterwards, by column expressions (``batches``).
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import tracelake
 from tracelake.functions.identifiers import uuid_to_bytes
 from tracelake.model import (
     ALL_KINDS,
@@ -27,10 +28,9 @@ from tracelake.model import (
     VALUE_TYPES,
 )
 
-try:
-    from google.protobuf import descriptor_pb2, descriptor_pool, message_factory
-except ImportError:  # the codec is optional, everything else works without it
-    descriptor_pb2 = None
+# The functions below travel to the executors with their code, so these need
+# protobuf but not this package.
+cloudpickle.register_pickle_by_value(tracelake)
 
 UNDECODABLE = "undecodable"
 
@@ -67,15 +67,15 @@ ONE_OF = {
 }
 
 
-@lru_cache(maxsize=1)
 def batch_class():
     """Protobuf class of one batch, from a descriptor built at run time.
 
     The type number of a schema field is declared as a plain integer: enums and
     integers are the same on the wire, and unknown numbers survive.
     """
-    if descriptor_pb2 is None:
-        raise ImportError("the wire codec needs the protobuf package")
+    # imported here: the codec is optional, everything else works without it
+    from google.protobuf import descriptor_pb2, descriptor_pool, message_factory
+
     kinds = descriptor_pb2.FieldDescriptorProto
     file = descriptor_pb2.FileDescriptorProto(
         name="tracelake.proto", package="tracelake", syntax="proto3"
