@@ -13,32 +13,33 @@ from tracelake.plans.ordered import next_marked, running_number
 FILTERS = "subscriber_id string, segment_id string, source_name string, event_name string"
 
 
-@pytest.mark.parametrize(
-    "text, parts, error",
-    [
-        ("*/*/*", (None, None, None), None),
-        (None, (None, None, None), None),
-        ("*/src/a/b", (None, "src", "a/b"), None),
-        ("*//e", (None, "", "e"), None),
-        ("*/s/", (None, "s", ""), None),
-        ("x/y", (None, None, None), "missing_separator"),
-        ("", (None, None, None), "missing_separator"),
-        ("zz/s/e", (None, None, None), "invalid_uuid"),
-        (f"{SEG_A}/s/e", (SEG_A, "s", "e"), None),
-        (SEG_A.replace("-", "").upper() + "/s/e", (SEG_A, "s", "e"), None),
-        ("{" + SEG_A + "}/s/*", (SEG_A, "s", None), None),
-        (f"urn:uuid:{SEG_A}/*/e", (SEG_A, None, "e"), None),
-        ("{" + SEG_A + "/s/e", (None, None, None), "invalid_uuid"),
-        ("{" + SEG_A.replace("-", "") + "}/s/e", (None, None, None), "invalid_uuid"),
-        (f"URN:UUID:{SEG_A}/s/e", (None, None, None), "invalid_uuid"),
-        (f"{SEG_A}\n/s/e", (None, None, None), "invalid_uuid"),
-    ],
-)
-def test_filter_text(spark, text, parts, error):
-    df = spark.createDataFrame([(text,)], "filter string")
-    row = filters.parse_filters(df).first()
-    assert (row.segment_id, row.source_name, row.event_name) == parts
-    assert row.error == error
+FILTER_TEXTS = [
+    ("*/*/*", (None, None, None), None),
+    (None, (None, None, None), None),
+    ("*/src/a/b", (None, "src", "a/b"), None),
+    ("*//e", (None, "", "e"), None),
+    ("*/s/", (None, "s", ""), None),
+    ("x/y", (None, None, None), "missing_separator"),
+    ("", (None, None, None), "missing_separator"),
+    ("zz/s/e", (None, None, None), "invalid_uuid"),
+    (f"{SEG_A}/s/e", (SEG_A, "s", "e"), None),
+    (SEG_A.replace("-", "").upper() + "/s/e", (SEG_A, "s", "e"), None),
+    ("{" + SEG_A + "}/s/*", (SEG_A, "s", None), None),
+    (f"urn:uuid:{SEG_A}/*/e", (SEG_A, None, "e"), None),
+    ("{" + SEG_A + "/s/e", (None, None, None), "invalid_uuid"),
+    ("{" + SEG_A.replace("-", "") + "}/s/e", (None, None, None), "invalid_uuid"),
+    (f"URN:UUID:{SEG_A}/s/e", (None, None, None), "invalid_uuid"),
+    (f"{SEG_A}\n/s/e", (None, None, None), "invalid_uuid"),
+]
+
+
+def test_filter_text(spark):
+    df = spark.createDataFrame(
+        [(n, text) for n, (text, _, _) in enumerate(FILTER_TEXTS)], "n int, filter string"
+    )
+    for r in filters.parse_filters(df).collect():
+        got = ((r.segment_id, r.source_name, r.event_name), r.error)
+        assert got == FILTER_TEXTS[r.n][1:], r.filter
 
 
 def matches(f, m):
