@@ -140,6 +140,15 @@ def test_snapshot_refolds_to_itself(spark, seed):
     assert catalog_as_dicts(C.fold(rows.select(*LOG_COLUMNS))) == kept
 
 
+def test_large_value_tables_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(C, "TABLE_ENTRIES", 4)
+    entries = [("int32", n, f"l{n}") for n in range(30)]
+    messages = [schema(1, SEG_A, "e", [("a", "int32")]), named(2, SEG_A, "e", "a", entries)]
+    rows = C.snapshot(C.fold(log_of(spark, messages)))
+    assert rows.where("kind = 'named_values'").count() > 1
+    assert catalog_as_dicts(C.fold(rows.select(*LOG_COLUMNS))) == sequential_fold(messages)
+
+
 def test_signals(spark):
     folded_ = C.fold(log_of(spark, [
         start(1, SEG_A, 0, "src"),

@@ -53,6 +53,9 @@ class Catalog:
     value_tables: DataFrame
 
 
+# Entries of one value-table message in a snapshot, about.
+TABLE_ENTRIES = 10_000
+
 SEGMENT_STATE_DDL = (
     "segment_id STRING, start_time_ns BIGINT, start_seq BIGINT, start_source STRING, "
     "first_seq BIGINT, first_source STRING, end_seq BIGINT, end_time_ns BIGINT, last_seq BIGINT"
@@ -281,10 +284,17 @@ def snapshot(catalog: Catalog) -> DataFrame:
         "event_name",
         F.lit(-1).cast("bigint").alias("field_pos"),
     )
-    # One message holds the whole value table of a field: that is its format.
     entry = F.struct("seq", "pos", "value", "label")
+    owner = ["segment_id", "event_name", "field_name", "field_pos"]
+    # One message per field, as long as its table is of ordinary size. A larger
+    # one is spread over several, which fold back to the same table.
+    sizes = catalog.value_tables.groupBy(*owner).agg(
+        F.ceil(F.count(F.lit(1)) / TABLE_ENTRIES).alias("_messages")
+    )
     named = (
-        catalog.value_tables.groupBy("segment_id", "event_name", "field_name", "field_pos")
+        catalog.value_tables.join(sizes, owner)
+        .withColumn("_part", F.pmod(F.xxhash64("tag", "key"), F.col("_messages")))
+        .groupBy(*owner, "_part")
         .agg(F.max("seq").alias("seq"), F.sort_array(F.collect_list(entry)).alias("entries"))
         .join(source, "segment_id")
         .select(

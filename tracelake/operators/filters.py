@@ -8,7 +8,7 @@ whatever the number of filters.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -95,13 +95,15 @@ def route(
     log: DataFrame,
     filters: DataFrame,
     residual: Callable[[DataFrame, DataFrame], Column] | None = None,
+    also_on: Sequence[str] = (),
 ) -> DataFrame:
     """One copy of each message per matching filter.
 
     ``filters`` has subscriber_id, segment_id, source_name, event_name and any
     further columns, which are carried along. Bag semantics: a message that
     matches two filters of one subscriber is delivered twice; a subscriber to
-    everything is one all-null filter; no filters, no rows.
+    everything is one all-null filter; no filters, no rows. ``also_on`` names
+    columns of both sides that have to be equal as well.
     """
     side = settle(_filter_keys(filters))
     # at most eight rows, by construction of the shape
@@ -121,6 +123,6 @@ def route(
         for shape in shapes
     ]
     probed = log.withColumn("_probe", F.explode(F.array(*probes))).select("*", "_probe.*")
-    keys = ["_shape", "_k_segment_id", "_k_source_name", "_k_event_name"]
+    keys = ["_shape", "_k_segment_id", "_k_source_name", "_k_event_name", *also_on]
     joined = lookup_join(probed.drop("_probe"), side, keys, residual=residual)
     return joined.drop(*keys)

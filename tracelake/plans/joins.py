@@ -2,8 +2,8 @@
 
 Nothing is broadcast on a guess: the small side is computed once, its rows and
 bytes are measured, and only then is the join strategy picked. Beyond the bound
-the join is a shuffle join with salted keys, so that one key holding a large
-share of all rows is spread over many tasks.
+the join is a shuffle join in which the most frequent keys are salted, so that
+a key holding a large share of all rows is spread over many tasks.
 """
 
 from __future__ import annotations
@@ -19,7 +19,10 @@ from tracelake.session import shared_folder
 MAX_ROWS_CONF = "spark.tracelake.broadcast.maxRows"
 MAX_BYTES_CONF = "spark.tracelake.broadcast.maxBytes"
 SALTS_CONF = "spark.tracelake.join.salts"
-_DEFAULTS = {MAX_ROWS_CONF: 500_000, MAX_BYTES_CONF: 128 * 1024 * 1024, SALTS_CONF: 32}
+_DEFAULTS = {MAX_ROWS_CONF: 500_000, MAX_BYTES_CONF: 128 * 1024 * 1024, SALTS_CONF: 128}
+# How many of the most frequent keys are salted: enough for any key that holds
+# more than a thousandth of the rows, few enough to broadcast.
+SALTED_KEYS = 1000
 
 
 def setting(df: DataFrame, name: str) -> int:
@@ -68,23 +71,18 @@ def lookup_join(
     """Join ``big`` to ``small`` on equal columns plus an optional extra condition.
 
     ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti`` with ``big``
-    on the left, which the salted form computes exactly: every big row meets
-    one full copy of the keys it could match. ``spread_by`` is a column of
+    on the left. The salted form is exact for all of them: every big row meets
+    one full copy of the small rows of its key. ``spread_by`` is a column of
     ``big`` that differs between rows of one key.
     """
     side = small if isinstance(small, Settled) else settle(small)
     keep_right = how in ("inner", "left")
     on = list(on)
     if side.broadcastable:
-        right, keys = F.broadcast(side.df), on
-        left = big
+        left, right, keys = big, F.broadcast(side.df), on
     else:
-        salts = setting(big, SALTS_CONF)
-        left = big.withColumn(
-            "_salt", F.pmod(F.xxhash64(F.col(spread_by)), F.lit(salts)).cast("int")
-        )
-        right = side.df.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        keys = on + ["_salt"]
+        left, right = _salted(big, side.df, on, spread_by)
+        keys = [*on, "_salt"]
     # rename the right keys so that the condition is unambiguous
     renamed = right.select(
         *[F.col(f"`{c}`").alias(f"_r_{c}" if c in keys else c) for c in right.columns]
@@ -98,3 +96,31 @@ def lookup_join(
     if keep_right:
         joined = joined.drop(*[f"_r_{c}" for c in keys])
     return joined.drop("_salt")
+
+
+def _salted(
+    big: DataFrame, small: DataFrame, on: list[str], spread_by: str
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a ``_salt``: the frequent keys of ``big`` are spread out.
+
+    Which keys are picked changes only the layout, never the result. The list
+    is checkpointed so that both sides always see the same one.
+    """
+    salts = setting(big, SALTS_CONF)
+    frequent = (
+        big.groupBy(*on)
+        .count()
+        .orderBy(F.desc("count"))
+        .limit(SALTED_KEYS)
+        .select(*on, F.lit(True).alias("_frequent"))
+        .checkpoint()
+    )
+    spread = F.pmod(F.xxhash64(F.col(spread_by)), F.lit(salts)).cast("int")
+    left = big.join(F.broadcast(frequent), on, "left").withColumn(
+        "_salt", F.when(F.col("_frequent"), spread).otherwise(F.lit(0))
+    )
+    copies = F.when(F.col("_frequent"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
+        F.array(F.lit(0))
+    )
+    right = small.join(F.broadcast(frequent), on, "left").withColumn("_salt", F.explode(copies))
+    return left.drop("_frequent"), right.drop("_frequent")
