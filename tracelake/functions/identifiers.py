@@ -19,8 +19,13 @@ def _hyphenate(hex32: Column) -> Column:
 
 def normalize_uuid(text: Column) -> Column:
     """Lower-case hyphenated form, or null where the text is not a UUID."""
-    bare = F.regexp_replace(text, r"\Aurn:uuid:|[{}-]", "")
-    return F.when(text.rlike(UUID_PATTERN), _hyphenate(F.lower(bare)))
+    canonical = F.lower(text)
+    bare = F.translate(F.replace(canonical, F.lit("urn:uuid:"), F.lit("")), "{}-", "")
+    return (
+        F.when(~text.rlike(UUID_PATTERN), F.lit(None).cast("string"))
+        .when(F.length(text) == 36, canonical)
+        .otherwise(_hyphenate(bare))
+    )
 
 
 def uuid_from_bytes(raw: Column) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tracelake.functions.values import base64_text, bytes_from_base64, value_struct
-from tracelake.model import TYPE_BY_NAME, VALUE_TYPES
+from tracelake.model import VALUE_TYPES
 
 _INTEGER_LEXEME = r"\A-?[0-9]+\z"
 
@@ -47,28 +47,19 @@ def typed_from_json(kind: Column, text: Column, data_type: Column) -> Column:
     finite = F.when(F.abs(double) < float("inf"), double)
     raw = F.when(kind == "string", bytes_from_base64(text))
 
-    i = u = F.lit(None)
-    for t in VALUE_TYPES:
-        if not t.is_integer:
-            continue
-        wide = "decimal(38,0)"
-        fits = (data_type == t.name) & is_number & number.between(
-            F.lit(str(t.low)).cast(wide), F.lit(str(t.high)).cast(wide)
-        )
-        if t.slot == "i":
-            i = F.when(fits, number.try_cast("bigint")).otherwise(i)
-        else:
-            u = F.when(fits, number.try_cast("decimal(20,0)")).otherwise(u)
-    ts_type = TYPE_BY_NAME["int64"]
-    ts = F.when(
-        (data_type == "timestamp[ns]")
-        & is_number
-        & number.between(
-            F.lit(str(ts_type.low)).cast("decimal(38,0)"),
-            F.lit(str(ts_type.high)).cast("decimal(38,0)"),
-        ),
-        number.try_cast("bigint"),
-    )
+    # timestamps have the range of int64
+    bounds = {t.name: (t.low, t.high) for t in VALUE_TYPES if t.is_integer}
+    bounds["timestamp[ns]"] = bounds["int64"]
+
+    def bound(which: int) -> Column:
+        rows = ", ".join(f"'{name}', {pair[which]}BD" for name, pair in bounds.items())
+        return F.try_element_at(F.expr(f"map({rows})"), data_type)
+
+    fits = is_number & number.between(bound(0), bound(1))
+    is_wide, is_time = data_type == "uint64", data_type == "timestamp[ns]"
+    i = F.when(fits & ~is_wide & ~is_time, number.try_cast("bigint"))
+    u = F.when(fits & is_wide, number.try_cast("decimal(20,0)"))
+    ts = F.when(fits & is_time, number.try_cast("bigint"))
     f = (
         F.when(data_type == "float32", finite.cast("float").cast("double"))
         .when(data_type == "float64", finite)

@@ -118,7 +118,9 @@ def float_text(value: Column) -> Column:
         ).otherwise(F.lit("")),
     )
     small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
-    plain = F.regexp_replace(text, r"\.0\z", "")
+    plain = F.when(
+        text.endswith(".0"), F.substring(text, F.lit(1), F.length(text) - 2)
+    ).otherwise(text)
     magnitude = (
         F.when(text == "Infinity", F.lit("inf"))
         .when(~text.contains("E"), plain)
@@ -161,7 +163,7 @@ def canonical_key(value: Column) -> Column:
 
 def base64_text(raw: Column) -> Column:
     """Standard base64 on one line (Spark may break long lines)."""
-    return F.regexp_replace(F.base64(raw), r"[\r\n]", "")
+    return F.translate(F.base64(raw), "\r\n", "")
 
 
 # Canonical base64 with required padding and zero trailing bits.

@@ -24,16 +24,22 @@ def check_events(log: DataFrame, catalog: Catalog) -> DataFrame:
     Types must be equal; there is no coercion. Missing fields are allowed. One
     join per event row; fields are compared inside the row.
     """
+    # name -> type of each schema, the first definition of a repeated name
+    names = F.transform("fields", lambda d: d["name"])
+    first = F.filter("fields", lambda d, at: F.array_position(names, d["name"]) == at + 1)
+    entries = F.transform(
+        first, lambda d: F.struct(d["name"].alias("k"), d["data_type"].alias("v"))
+    )
     declared = catalog.event_schemas.select(
-        "segment_id", F.col("event_name").alias("_event"), F.col("fields").alias("_declared")
+        "segment_id",
+        F.col("event_name").alias("_event"),
+        F.map_from_entries(entries).alias("_declared"),
     )
     events = log.where(F.col("kind") == EVENT).withColumn("_event", F.col("event.name"))
     joined = lookup_join(events, declared, ["segment_id", "_event"], "left")
 
     def verdict(x: Column) -> Column:
-        expected = F.try_element_at(
-            F.filter("_declared", lambda d: d["name"] == x["name"]), F.lit(1)
-        )["data_type"]
+        expected = F.try_element_at("_declared", x["name"])
         found = x["value"]["tag"]
         return F.struct(
             x["name"].alias("field"),

@@ -18,37 +18,32 @@ from tracelake.model import EVENT
 from tracelake.plans.joins import lookup_join, settle
 
 
-def parsed_filter(text: Column) -> Column:
-    """``(segment_id, source_name, event_name, error)`` of a filter text (F1).
+def parse_filters(texts: DataFrame, column: str = "filter") -> DataFrame:
+    """Add segment_id, source_name, event_name and ``error`` of filter texts (F1).
 
     Null in a part means any; a null text matches everything. An empty part is
     a literal empty string.
     """
-    parts = F.split(text, "/", 3)
-    wrong_shape = F.size(parts) < 3
-    segment = F.try_element_at(parts, F.lit(1))
-
-    def part(at: int) -> Column:
-        piece = F.try_element_at(parts, F.lit(at))
-        return F.when(piece != "*", piece)
-
+    pieces = F.split(F.col(column), "/", 3)
+    segment = F.try_element_at(pieces, F.lit(1))
     error = (
-        F.when(text.isNull(), F.lit(None).cast("string"))
-        .when(wrong_shape, F.lit("missing_separator"))
+        F.when(F.col(column).isNull(), F.lit(None).cast("string"))
+        .when(F.size(pieces) < 3, F.lit("missing_separator"))
         .when((segment != "*") & ~segment.rlike(UUID_PATTERN), F.lit("invalid_uuid"))
     )
-    good = error.isNull()
-    return F.struct(
-        F.when(good & (segment != "*"), normalize_uuid(segment)).alias("segment_id"),
-        F.when(good, part(2)).alias("source_name"),
-        F.when(good, part(3)).alias("event_name"),
-        error.alias("error"),
-    )
+    good = F.col("error").isNull()
 
+    def part(at: int) -> Column:
+        piece = F.try_element_at(pieces, F.lit(at))
+        return F.when(good & (piece != "*"), piece)
 
-def parse_filters(texts: DataFrame, column: str = "filter") -> DataFrame:
-    """Add the parsed parts and ``error`` to a table of filter texts."""
-    return texts.withColumn("_p", parsed_filter(F.col(column))).select("*", "_p.*").drop("_p")
+    return texts.withColumn("error", error).select(
+        *texts.columns,
+        F.when(good & (segment != "*"), normalize_uuid(segment)).alias("segment_id"),
+        part(2).alias("source_name"),
+        part(3).alias("event_name"),
+        "error",
+    )
 
 
 def matches(segment_id: Column, source_name: Column, event_name: Column) -> Column:

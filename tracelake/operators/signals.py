@@ -19,33 +19,32 @@ from tracelake.plans.joins import lookup_join, settle
 KEY_PATTERN = r"\A([*\w-]+)/([^/.]+)/([^.]+)\.([^\n]+)\z"
 
 
-def parsed_key(text: Column) -> Column:
-    """``(segment_id, source, message, signal, error)`` of a key text (K1).
+def parse_keys(texts: DataFrame, column: str = "signal_key") -> DataFrame:
+    """Add segment_id, source, message, signal and ``error`` of key texts (K1).
 
-    Only the segment can be a wildcard (null).
+    Only the segment can be a wildcard (null). The pattern is tested once; in
+    a text that fits, plain cuts at the first separators find the same parts.
     """
-    segment = F.regexp_extract(text, KEY_PATTERN, 1)
+    text = F.col(column)
+    segment = F.substring_index(text, "/", 1)
     error = F.when(~F.coalesce(text.rlike(KEY_PATTERN), F.lit(False)), F.lit("not_a_key")).when(
         (segment != "*") & ~segment.rlike(UUID_PATTERN), F.lit("invalid_uuid")
     )
-    good = error.isNull()
-
-    def group(at: int) -> Column:
-        return F.when(good, F.regexp_extract(text, KEY_PATTERN, at))
-
-    return F.struct(
-        F.when(good & (segment != "*"), normalize_uuid(segment)).alias("segment_id"),
-        group(2).alias("source"),
-        group(3).alias("message"),
-        group(4).alias("signal"),
-        error.alias("error"),
+    pieces = F.split(text, "/", 3)
+    tail = F.try_element_at(pieces, F.lit(3))
+    message = F.substring_index(tail, ".", 1)
+    good = F.col("error").isNull()
+    parts = {
+        "segment_id": F.when(segment != "*", normalize_uuid(segment)),
+        "source": F.try_element_at(pieces, F.lit(2)),
+        "message": message,
+        "signal": F.substring(tail, F.length(message) + 2, F.length(tail)),
+    }
+    return texts.withColumn("error", error).select(
+        *texts.columns, *[F.when(good, c).alias(name) for name, c in parts.items()], "error"
     )
 
 
-def parse_keys(texts: DataFrame, column: str = "signal_key") -> DataFrame:
-    return texts.withColumn("_p", parsed_key(F.col(column))).select("*", "_p.*").drop("_p")
-
-
 def with_names(signal_rows: DataFrame) -> DataFrame:
     """Add the text keys of each signal (K5)."""
     where = (F.col("data_segment_id"), F.col("source"), F.col("message"))

@@ -4,7 +4,7 @@
 ``2**20`` rows whatever the data: windows run inside blocks, and block totals
 are combined over two more levels that are bounded in the same way. A key that
 holds a third of all rows is thereby spread over as many tasks as it has
-blocks.
+blocks. Key columns must not be null, as nothing in the log's envelope is.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracelake.plans.joins import Settled, settle
+
 BLOCK_BITS = 20
 
 
@@ -34,8 +36,8 @@ def running_number(
     inside = Window.partitionBy(*keys, "_block").orderBy(seq, *([tie] if tie else []))
     numbered = blocked.withColumn("_at", F.row_number().over(inside).cast("bigint") - 1)
 
-    earlier = (Window.unboundedPreceding, -1)
-    totals = blocked.groupBy(*keys, "_super", "_block").agg(F.count(F.lit(1)).alias("_n"))
+    side = settle(blocked.groupBy(*keys, "_super", "_block").agg(F.count(F.lit(1)).alias("_n")))
+    totals, earlier = side.df, (Window.unboundedPreceding, -1)
     in_super = Window.partitionBy(*keys, "_super").orderBy("_block").rowsBetween(*earlier)
     blocks = totals.withColumn("_before", F.coalesce(F.sum("_n").over(in_super), F.lit(0)))
     supers = totals.groupBy(*keys, "_super").agg(F.sum("_n").alias("_n"))
@@ -47,12 +49,21 @@ def running_number(
         *keys, "_block", (F.col("_before") + F.col("_super_before")).alias("_offset")
     )
     return (
-        numbered.join(offsets, [*keys, "_block"])
+        numbered.join(_sized(offsets, side), [*keys, "_block"])
         .withColumn(name, F.col("_at") + F.col("_offset"))
         .drop("_block", "_super", "_at", "_offset")
     )
 
 
+def _sized(offsets: DataFrame, totals: Settled) -> DataFrame:
+    """One row per block, as many as the totals: broadcast when those are few.
+
+    Otherwise the join needs no further shuffle of the data either, which the
+    window has already laid out by the same keys.
+    """
+    return F.broadcast(offsets) if totals.broadcastable else offsets
+
+
 def next_marked(
     df: DataFrame,
     keys: Sequence[str],
@@ -74,7 +85,10 @@ def next_marked(
     inside = Window.partitionBy(*keys, "_block").orderBy(F.desc(seq)).rowsBetween(*earlier)
     local = blocked.withColumn("_local", F.min("_mark").over(inside))
 
-    totals = blocked.groupBy(*keys, "_super", "_block").agg(F.min("_mark").alias("_first"))
+    side = settle(
+        blocked.groupBy(*keys, "_super", "_block").agg(F.min("_mark").alias("_first"))
+    )
+    totals = side.df
     in_super = Window.partitionBy(*keys, "_super").orderBy(F.desc("_block")).rowsBetween(*earlier)
     blocks = totals.withColumn("_later", F.min("_first").over(in_super))
     supers = totals.groupBy(*keys, "_super").agg(F.min("_first").alias("_first"))
@@ -84,7 +98,7 @@ def next_marked(
         *keys, "_block", F.coalesce("_later", "_much_later").alias("_following")
     )
     return (
-        local.join(following, [*keys, "_block"])
+        local.join(_sized(following, side), [*keys, "_block"])
         .withColumn(name, F.coalesce("_local", "_following"))
         .drop("_mark", "_block", "_super", "_local", "_following")
     )

@@ -8,6 +8,8 @@ the schema, and wrong tags. ``user_id % 16`` makes the segments.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tracelake.functions.values import value_sql
@@ -171,9 +173,13 @@ def event_messages(events: DataFrame) -> DataFrame:
     return emit_events(rows)
 
 
+@lru_cache(maxsize=4)
 def sample_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole log. Each kind is a branch of its own, so a filter on ``kind``
-    removes the branches it does not need from the plan."""
+    removes the branches it does not need from the plan.
+
+    Only the plan is remembered between calls, no data.
+    """
     events = read_events(spark, sf_dir)
     return union_log(
         start_messages(events),
