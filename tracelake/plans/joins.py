@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.session import shared_folder
+from tracelake.session import new_folder
 
 MAX_ROWS_CONF = "spark.tracelake.broadcast.maxRows"
 MAX_BYTES_CONF = "spark.tracelake.broadcast.maxBytes"
@@ -31,20 +31,31 @@ def setting(df: DataFrame, name: str) -> int:
 
 @dataclass(frozen=True)
 class Settled:
-    """A table computed once and kept in the shared folder, with its size checked."""
+    """A table stored in the shared folder, with its size checked."""
 
     df: DataFrame
     broadcastable: bool
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The table computed once and stored in the shared folder.
+
+    A stored table survives lost executors, is read by column, and has known
+    statistics.
+    """
+    spark = df.sparkSession
+    path = new_folder(spark, "side")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def settle(df: DataFrame) -> Settled:
-    """Compute a side table once (reliable checkpoint) and measure it.
+    """Compute a side table once and measure it.
 
     The measurement stops after the row bound, so a table that turns out to be
     big costs no more than the rows that prove it.
     """
-    shared_folder(df.sparkSession)
-    kept = df.checkpoint()
+    kept = written(df)
     max_rows = setting(df, MAX_ROWS_CONF)
     text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in kept.columns]))
     seen = (
@@ -104,16 +115,15 @@ def _salted(
     """Both sides with a ``_salt``: the frequent keys of ``big`` are spread out.
 
     Which keys are picked changes only the layout, never the result. The list
-    is checkpointed so that both sides always see the same one.
+    is stored first so that both sides always see the same one.
     """
     salts = setting(big, SALTS_CONF)
-    frequent = (
+    frequent = written(
         big.groupBy(*on)
         .count()
         .orderBy(F.desc("count"))
         .limit(SALTED_KEYS)
         .select(*on, F.lit(True).alias("_frequent"))
-        .checkpoint()
     )
     spread = F.pmod(F.xxhash64(F.col(spread_by)), F.lit(salts)).cast("int")
     left = big.join(F.broadcast(frequent), on, "left").withColumn(
