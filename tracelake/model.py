@@ -107,14 +107,9 @@ LOG_COLUMNS = ("seq", "segment_id", "source_name", "kind", *ALL_KINDS)
 
 # Before validation a message looks the same, but the segment id is still the
 # raw bytes and unsigned carriers may hold any uint64 in slot ``u``.
-WIRE_MESSAGE_DDL = "segment_id BINARY, source_name STRING, kind STRING, " + ", ".join(
-    f"{kind} {PAYLOAD_DDL[kind]}" for kind in ALL_KINDS
-)
 BATCH_DDL = (
     "stream_id STRING, batch_no BIGINT, trace_messages ARRAY<STRUCT<"
     "segment_id: BINARY, source_name: STRING, kind: STRING, "
     + ", ".join(f"{kind}: {PAYLOAD_DDL[kind]}" for kind in ALL_KINDS)
     + ">>"
 )
-
-FILTER_COLUMNS = ("subscriber_id", "filter_no", "segment_id", "source_name", "event_name")

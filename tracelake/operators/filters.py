@@ -46,25 +46,16 @@ def parse_filters(texts: DataFrame, column: str = "filter") -> DataFrame:
     )
 
 
-def matches(segment_id: Column, source_name: Column, event_name: Column) -> Column:
-    """Whether a log row matches one filter given by its parts (F2)."""
-    return (
-        (segment_id.isNull() | (segment_id == F.col("log.segment_id")))
-        & (source_name.isNull() | (source_name == F.col("log.source_name")))
-        & (
-            event_name.isNull()
-            | ((F.col("log.kind") == EVENT) & (event_name == F.col("log.event.name")))
-        )
-    )
-
-
 def where_filter(
     log: DataFrame,
     segment_id: str | None = None,
     source_name: str | None = None,
     event_name: str | None = None,
 ) -> DataFrame:
-    """Messages matching one filter known up front: a plain, pushed-down where."""
+    """Messages matching one filter known up front (F2): a plain, pushed-down where.
+
+    A filter with an event name matches events only.
+    """
     if segment_id is not None:
         log = log.where(F.col("segment_id") == segment_id)
     if source_name is not None:
