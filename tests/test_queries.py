@@ -9,6 +9,7 @@ import __spark_entry__ as contract
 from tests.messages import SEG_A, event, log_of
 from tracelake.model import LOG_DDL
 from tracelake.operators import catalog, filters, samples
+from tracelake.plans.queries import QUERIES
 from tracelake.plans.sample_log import sample_log
 
 ROOT = pathlib.Path(__file__).resolve().parents[1]
@@ -21,7 +22,7 @@ spec.loader.exec_module(check_oracle)
 pytestmark = pytest.mark.skipif(not pathlib.Path(DATA).exists(), reason="no test data here")
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_its_sql(spark, name):
     df = contract.queries()[name](spark, DATA)
     text = plan(df)
