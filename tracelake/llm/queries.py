@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelake.llm import languages
+from tracelake.llm import content_sort, golay, languages
 from tracelake.llm.common import id_remainder, table
 
 
@@ -17,8 +17,33 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return content_sort.equal_texts(table(spark, sf_dir, "documents"))
+
+
+def op9_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = golay.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", golay.hex_fingerprint().alias("fingerprint"), "component_id")
+
+
 LLM_QUERIES = {
+    "op7_content_sort": op7_content_sort,
     "op8_language_id": op8_language_id,
+    "op9_golay_simhash": op9_golay_simhash,
 }
 
-LLM_ORACLE: dict[str, str] = {}
+LLM_ORACLE = {
+    "op7_content_sort": r"""
+        WITH texts AS (
+            SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm
+            FROM documents
+        ), ranked AS (
+            SELECT *, min(doc_id) OVER (PARTITION BY norm) AS keep_id,
+                count(*) OVER (PARTITION BY norm) AS group_size,
+                row_number() OVER (PARTITION BY norm ORDER BY doc_id) AS place
+            FROM texts
+        )
+        SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(norm) AS text_sha256
+        FROM ranked
+    """,
+}
