@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracelake.llm import languages
+from tracelake.llm import content_sort, golay, languages, mixing, tiling
 from tracelake.llm.common import stored, table
 
 
@@ -14,8 +14,35 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return docs.where(~found("text")["rejected"])
 
 
-STAGES = [("language", language_stage)]
+def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents with equal texts the one with the smallest id stays."""
+    return content_sort.distinct_texts(docs)
 
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id stays."""
+    return golay.representatives(docs)
+
+
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage go."""
+    return tiling.uncontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The sources at their target weights, shuffled globally."""
+    return mixing.mix(docs)
+
+
+STAGES = [
+    ("language", language_stage),
+    ("exact", exact_stage),
+    ("near", near_stage),
+    ("benchmark", benchmark_stage),
+    ("mixing", mixing_stage),
+]
+
+# Language identification, fingerprints and tilings are not expressible in SQL.
 ORACLE_SQL = None
 
 

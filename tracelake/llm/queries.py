@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelake.llm import content_sort, golay, languages
+from tracelake.llm import content_sort, golay, languages, mixing, tiling
 from tracelake.llm.common import id_remainder, table
 
 
@@ -26,13 +26,63 @@ def op9_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", golay.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op1_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op6_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return tiling.contaminations(docs, benchmark)
+
+
 LLM_QUERIES = {
+    "op1_poisson_mix": op1_poisson_mix,
+    "op6_string_tiling": op6_string_tiling,
     "op7_content_sort": op7_content_sort,
     "op8_language_id": op8_language_id,
     "op9_golay_simhash": op9_golay_simhash,
 }
 
 LLM_ORACLE = {
+    "op1_poisson_mix": """
+        WITH docs AS (
+            SELECT *, coalesce('s' || source, '') AS mix_key,
+                coalesce(CAST(doc_id AS VARCHAR), '') AS mix_id
+            FROM documents
+        ), sizes AS (
+            SELECT mix_key, CAST(sum(length(coalesce(text, '')) + 1) AS DOUBLE) AS size
+            FROM docs GROUP BY mix_key
+        ), totals AS (
+            SELECT sum(sqrt(size)) AS all_weight, sum(size) AS all_size FROM sizes
+        ), rates AS (
+            SELECT mix_key, sqrt(size) / all_weight * all_size / size AS rate
+            FROM sizes, totals
+        ), means AS (
+            SELECT mix_key, rate / greatest(1, ceil(rate / 32)) AS mean,
+                CAST(greatest(1, ceil(rate / 32)) AS INTEGER) AS draws
+            FROM rates
+        ), terms AS (
+            SELECT mix_key, CAST(n AS DOUBLE) AS n,
+                exp(n * ln(mean) - mean - lgamma(n + 1)) AS p
+            FROM means, range(0, 200) AS r(n)
+        ), cdf AS (
+            SELECT mix_key, sum(p) OVER (PARTITION BY mix_key ORDER BY n) AS c
+            FROM terms
+        ), fractions AS (
+            SELECT mix_key, mix_id,
+                CAST('0x' || substr(md5('mix:' || mix_id || ':' || draw), 1, 13) AS BIGINT)
+                    / CAST(4503599627370496 AS DOUBLE) AS u
+            FROM docs JOIN means USING (mix_key), range(1, 1000000) AS d(draw)
+            WHERE draw <= draws
+        ), counts AS (
+            SELECT mix_id, count(c) AS n
+            FROM fractions f JOIN cdf k ON f.mix_key = k.mix_key AND k.c <= f.u
+            GROUP BY mix_id
+        )
+        SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, CAST(copy AS INTEGER) AS copy,
+            md5('mix:order:' || mix_id || ':' || copy) AS shuffle_key
+        FROM docs d JOIN counts USING (mix_id), LATERAL unnest(range(1, n + 1)) AS r(copy)
+    """,
     "op7_content_sort": r"""
         WITH texts AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm
