@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelake.llm import content_sort, golay, languages, mixing, tiling
+from tracelake.llm import content_sort, golay, languages, licenses, mixing, tiling, token_counts
 from tracelake.llm.common import id_remainder, table
 
 
@@ -35,12 +36,28 @@ def op6_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiling.contaminations(docs, benchmark)
 
 
+def op4_whole_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    )
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def op10_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_documents(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word",
+        "base_labels", "labels", "score",
+    )
+
+
 LLM_QUERIES = {
     "op1_poisson_mix": op1_poisson_mix,
     "op6_string_tiling": op6_string_tiling,
     "op7_content_sort": op7_content_sort,
     "op8_language_id": op8_language_id,
     "op9_golay_simhash": op9_golay_simhash,
+    "op4_whole_tokens": op4_whole_tokens,
+    "op10_license_rules": op10_license_rules,
 }
 
 LLM_ORACLE = {
