@@ -6,7 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelake.llm import content_sort, golay, languages, licenses, mixing, tiling, token_counts
+from tracelake.llm import (
+    content_sort,
+    golay,
+    html_text,
+    languages,
+    licenses,
+    mixing,
+    tiling,
+    token_counts,
+)
 from tracelake.llm.common import id_remainder, table
 
 
@@ -50,7 +59,14 @@ def op10_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", "n_chars"
+    )
+
+
 LLM_QUERIES = {
+    "op2_line_blocks": op2_line_blocks,
     "op1_poisson_mix": op1_poisson_mix,
     "op6_string_tiling": op6_string_tiling,
     "op7_content_sort": op7_content_sort,
