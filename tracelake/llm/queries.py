@@ -13,6 +13,7 @@ from tracelake.llm import (
     languages,
     licenses,
     mixing,
+    quality,
     tiling,
     token_counts,
 )
@@ -65,7 +66,19 @@ def op2_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    scored = quality.score_documents(docs, quality.fit(docs, labels))
+    return scored.select(
+        "doc_id",
+        (id_remainder("doc_id", 4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 LLM_QUERIES = {
+    "op3_boosted_quality": op3_boosted_quality,
     "op2_line_blocks": op2_line_blocks,
     "op1_poisson_mix": op1_poisson_mix,
     "op6_string_tiling": op6_string_tiling,
