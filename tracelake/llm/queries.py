@@ -13,6 +13,7 @@ from tracelake.llm import (
     languages,
     licenses,
     mixing,
+    passages,
     quality,
     tiling,
     token_counts,
@@ -77,7 +78,12 @@ def op3_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
+    "op5_compact_windows": op5_compact_windows,
     "op3_boosted_quality": op3_boosted_quality,
     "op2_line_blocks": op2_line_blocks,
     "op1_poisson_mix": op1_poisson_mix,
