@@ -1,0 +1,308 @@
+"""Operators that judge texts one by one, against brute force and on messy rows."""
+
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from tests.llm.messy import TEXTS, empty, long_text, messy
+from tracelake.llm import html_text, languages, license_rules, licenses, quality, tiling, token_counts
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def pages(spark, rows):
+    return spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")
+
+
+def page(body, head="<title>t</title><style>p{}</style><script>var a='</p>';</script>"):
+    return f"<!DOCTYPE html><html><head>{head}</head><body>{body}</body></html>"
+
+
+LONG = "The article goes on with many more words than any menu has. " * 3
+
+PAGES = {
+    "article": (
+        page(
+            "<nav><ul><li><a href='/a'>Home</a></li></ul></nav><!-- x --><div class='ad'>Buy now</div>"
+            "<article><h1>A  title</h1><p><b>First &amp; foremost<br><p>Short.</p><p>&lt;b&gt; &copy;</p>"
+            "<div class='ad'>Buy</div><p>End.</p></article><footer>&copy; us</footer>"
+        ),
+        "A title\n\nFirst & foremost\n\nShort.\n\n<b> ©\n\nEnd.",
+    ),
+    "plain": (
+        page(
+            f"<div id='header'><a>Site</a></div><div class='menu'><a>one</a> <a>two</a></div>"
+            f"<div><h1>Title</h1><p>{LONG}</p><p>Yes.</p></div><div class='cookie-notice'>We use</div>"
+            f"<form>Name</form><div id='comments'><p>{LONG}</p></div><div>tiny</div>"
+        ),
+        f"Title\n\n{LONG.strip()}\n\nYes.",
+    ),
+    "cut off": ("<body><nav>menu</nav><article><p>It starts<p>and is cu", "It starts\n\nand is cu"),
+    "unclosed advert": (f"<p class=ad>buy<p>{LONG}", LONG.strip()),
+    "wrapped in a form": (page(f"<form><h1>H</h1><p>{LONG}</p></form>"), f"H\n\n{LONG.strip()}"),
+    "only text": ("just   text &nbsp; here", "just text here"),
+    "empty": ("", ""),
+    "only script": ("<script>alert(1)", ""),
+}
+
+
+@pytest.mark.parametrize("name", list(PAGES))
+def test_main_text(name):
+    html, text = PAGES[name]
+    assert html_text.main_text(html) == text
+
+
+def test_pages_with_nulls_and_clashing_columns(spark):
+    rows = [(1, "u", PAGES["article"][0], "old"), (2, None, None, "old"), (None, "v", "", None), (1, "u", "<p>x", "o")]
+    got = html_text.extract(pages(spark, rows)).select("page_id", "url", "text", "n_chars").collect()
+    want = [(1, "u", PAGES["article"][1]), (2, None, ""), (None, "v", ""), (1, "u", "x")]
+    assert sorted(map(repr, map(tuple, got))) == sorted(repr((*w, len(w[2]))) for w in want)
+    assert html_text.extract(pages(spark, [])).count() == 0
+
+
+def test_broken_markup_is_read_in_linear_time():
+    for part in ("<a \"", "<b>", "<!--", "<div class=ad>", "<p class=ad>x", "</i>", "&#"):
+        html_text.main_text(part * 20_000)
+
+
+def test_token_counts_equal_the_library(spark):
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    count = lambda t: len(tokenizer.encode(t or "", add_special_tokens=False).ids)
+    got = token_counts.count_tokens(messy(spark), TOKENIZER, limit=100).collect()
+    assert sorted((r.text or "", r.n_tokens) for r in got) == sorted((t or "", count(t)) for _, t in TEXTS)
+    for r in got:
+        assert r.n_bytes == len((r.text or "").encode()) and r.over_limit == (r.n_tokens > 100)
+    assert token_counts.count_tokens(empty(spark), TOKENIZER).count() == 0
+
+
+def test_token_counts_on_random_texts():
+    with open(TOKENIZER, encoding="utf-8") as file:
+        json = file.read()
+    tokenizer = Tokenizer.from_str(json)
+    counter = token_counts.Counter(json, token_counts.proven(json))
+    parts = [
+        "a", "B", "é", "é", "É", "ﬁ", "İ", "Σ", "ΑΣ ", "ß", "ǅ", "中", "文", "١", "²", "½", " ", "\t",
+        "\n", "\xa0", "\x85", "\x1c", "\x00", "'s", "'LL", "!", "--", "<|endoftext|>", "<|startoftext|>",
+        "<|EndOfText|>", "​", "😀", "ａ", "̀", "the", "12", "_", "ɏ", "�", "Ÿ", "ŉ",
+    ]
+    rng = random.Random(4)
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))
+        assert counter(text) == len(tokenizer.encode(text, add_special_tokens=False).ids), repr(text)
+
+
+def test_proven_pieces_are_single_tokens():
+    with open(TOKENIZER, encoding="utf-8") as file:
+        json = file.read()
+    tokenizer = Tokenizer.from_str(json)
+    for piece in random.Random(1).sample(token_counts.proven(json), 500):
+        assert len(tokenizer.model.tokenize(piece)) == 1
+
+
+def test_remembered_pieces_change_nothing(monkeypatch):
+    with open(TOKENIZER, encoding="utf-8") as file:
+        json = file.read()
+    ones = token_counts.proven(json)
+    text = long_text(2, 2000)
+    whole = token_counts.Counter(json, ones)(text)
+    monkeypatch.setattr(token_counts, "REMEMBERED", 3)
+    assert token_counts.Counter(json, ones)(text) == whole
+
+
+def brute_licenses(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+    hits = [
+        (i, label)
+        for phrase, label in license_rules.BASE_PHRASES.items()
+        for i in range(len(words))
+        if words[i : i + len(phrase.split())] == phrase.split()
+    ]
+    starts = [i for i, _ in hits]
+    return (
+        len(words), len(hits), min(starts, default=None), max(starts, default=None),
+        ",".join(sorted({label for _, label in hits})),
+    )
+
+
+def test_license_places_equal_brute_force(spark):
+    got = licenses.scan_documents(messy(spark)).collect()
+    want = sorted(repr((t, *brute_licenses(t))) for _, t in TEXTS)
+    fields = ("text", "n_words", "n_base", "first_word", "last_word", "base_labels")
+    assert sorted(repr(tuple(r[f] for f in fields)) for r in got) == want
+    assert licenses.scan_documents(empty(spark)).count() == 0
+    parts = ["MIT", "License", "license", "GNU", "general", "public", "apache", "cc", "by", "CC-BY", "é", "-", "\n", "x"]
+    rng = random.Random(8)
+    for _ in range(2000):
+        text = " ".join(rng.choice(parts) for _ in range(rng.randint(0, 12)))
+        found = licenses.scan(text)
+        assert tuple(found[f] for f in fields[1:]) == brute_licenses(text), text
+
+
+def test_license_rules_and_suppression():
+    assert len(license_rules.rules()) > 300
+    labels = lambda text: licenses.scan(text)["labels"].split(",")
+    assert labels("licensed under the GNU General Public License, version 3.") == ["gpl", "gpl-3.0"]
+    assert labels("GNU Lesser General Public License v2.1 or later") == ["lgpl-2.1-or-later"]
+    assert labels("SPDX-License-Identifier: Apache-2.0") == ["apache-2.0"]
+    assert labels("Licensed under the Apache License, Version 2.0") == ["apache", "apache-2.0"]
+    assert labels("Licensed under CC BY-NC-SA 4.0 International") == ["cc-by", "cc-by-nc-sa-4.0"]
+    assert labels("mit der Bahn und by cc") == [""]
+    for rule in license_rules.rules():
+        re.compile(rule.pattern)
+
+
+def suppressed_slowly(found):
+    strength = lambda d: (d[3].priority, d[1] - d[0], -d[2])
+    return {
+        d for d in found
+        if not any(o[0] <= d[0] and o[1] >= d[1] and strength(o) > strength(d) for o in found)
+    }
+
+
+def test_suppression_equals_brute_force():
+    rng = random.Random(2)
+    rule = lambda p: license_rules.Rule("l", "k", "p", p, 0.5)
+    for _ in range(300):
+        found = []
+        for order in range(rng.randint(0, 9)):
+            start = rng.randint(0, 12)
+            found.append((start, start + rng.randint(1, 8), order, rule(rng.randint(1, 3))))
+        assert set(licenses.suppressed(found)) == suppressed_slowly(found)
+
+
+def test_tiling_equals_brute_force():
+    rng = random.Random(6)
+    for _ in range(200):
+        doc = np.array([rng.randint(-1, 6) for _ in range(rng.randint(0, 40))])
+        item = np.array([rng.randint(0, 6) for _ in range(rng.randint(5, 25))])
+        if rng.random() < 0.7 and len(item) > 12:
+            doc = np.concatenate([doc, item[8:], doc[:5], item[:8]])
+        assert tiling.tile(doc, item) == brute_tile(doc.tolist(), item.tolist(), tiling.TILE_WORDS)
+
+
+def brute_tile(doc, item, least):
+    free_doc, free_item = [x >= 0 for x in doc], [True] * len(item)
+    marked = tiles = 0
+    while True:
+        best = []
+        for j in range(len(item)):
+            for i in range(len(doc)):
+                n = 0
+                while (
+                    i + n < len(doc) and j + n < len(item) and doc[i + n] == item[j + n]
+                    and free_doc[i + n] and free_item[j + n]
+                ):
+                    n += 1
+                best.append((-n, j, i))
+        best.sort()
+        if not best or -best[0][0] < least:
+            return marked, tiles
+        n = -best[0][0]
+        for length, j, i in best:
+            if -length == n and all(free_doc[i : i + n]) and all(free_item[j : j + n]):
+                free_doc[i : i + n] = [False] * n
+                free_item[j : j + n] = [False] * n
+                marked += n
+                tiles += 1
+
+
+def test_contamination(spark, monkeypatch):
+    item = "the quick brown fox jumps over the lazy dog while seven wizards brew a very strong potion"
+    moved = "seven wizards brew a very strong potion - The quick brown fox jumps over the lazy dog"
+    bench = spark.createDataFrame(
+        [(1, item), (2, "too short"), (3, None), (None, long_text(50, 30)), (4, item)],
+        "item_id bigint, text string",
+    )
+    rows = [
+        (1, f"Before. {item.upper()}! After."), (2, f"{moved}."), (3, "the quick brown fox jumps"),
+        (4, long_text(50, 200)), (5, None), (6, ""), (None, item), (1, f"Before. {item.upper()}! After."),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("item_id", F.lit("x"))
+    want = sorted(map(repr, [(1, 1), (1, 4)] * 2 + [(2, 1), (2, 4), (None, 1), (None, 4), (4, None)]))
+    for size in (tiling.BLOCK_BYTES, 60):  # in one block and in several
+        monkeypatch.setattr(tiling, "BLOCK_BYTES", size)
+        found = tiling.contaminations(docs, bench).collect()
+        assert sorted(repr((r.doc_id, r.item_id)) for r in found) == want
+        assert sorted(r.doc_id for r in tiling.uncontaminated(docs, bench).collect()) == [3, 5, 6]
+    assert {r.tiles for r in found if r.doc_id == 2} == {2}
+    assert tiling.contaminations(docs, bench.where("false")).count() == 0
+    assert tiling.uncontaminated(empty(spark), bench).count() == 0
+
+
+SYLLABLES = {"aa": ["ka", "lo", "mi"], "bb": ["sch", "ung", "ber"], "cc": ["eau", "que", "oi"]}
+
+
+def spoken(lang, rng, words):
+    return " ".join("".join(rng.choice(SYLLABLES[lang]) for _ in range(rng.randint(1, 4))) for _ in range(words))
+
+
+def test_languages_on_held_out_texts(spark):
+    rng = random.Random(3)
+    rows = [(i, spoken(lang, rng, rng.randint(2, 60)), lang) for i, lang in enumerate(["aa", "bb", "cc"] * 60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(2)
+    found = languages.identify(docs).where("crc32(cast(doc_id as string)) % 5 = 0").collect()
+    assert len(found) > 20
+    assert all(r.lang_pred == r.lang and 0 <= r.score <= 1 and not r.rejected for r in found)
+    model = languages.fit(docs)
+    odd = languages.identify(messy(spark), model).collect()
+    for r in odd:
+        has_letter = any(c.isalpha() for c in r.text or "")
+        assert (r.lang_pred == "und") == (not has_letter)
+        assert has_letter or r.rejected and r.score == 0
+    assert languages.identify(empty(spark)).count() == 0
+    unlabelled = languages.identify(messy(spark).withColumn("lang", F.lit(None).cast("string")))
+    assert {r.lang_pred for r in unlabelled.collect()} == {"und"}
+
+
+def test_ngrams_do_not_span_texts_or_words():
+    alone = [languages.ngram_buckets([t])[0] for t in ("ab cd", "é", "", "1 2")]
+    together, owners, letters = languages.ngram_buckets(["ab cd", "é", "", "1 2"])
+    for k, buckets in enumerate(alone):
+        assert sorted(together[owners == k]) == sorted(buckets)
+    assert letters.tolist() == [True, True, False, False]
+    assert sorted(languages.ngram_buckets(["ab, cd"])[0]) == sorted(alone[0])
+
+
+def test_quality_on_held_out_texts(spark):
+    rng = random.Random(7)
+    good = lambda: " ".join(rng.choice(["fine", "words", "stand", "here"]) for _ in range(40)) + "."
+    bad = lambda: " | ".join(rng.choice(["BUY", "NOW", "$$$"]) for _ in range(30))
+    rows = [(i, good() if i % 3 else bad()) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
+    marks = [(i, int(i % 3 > 0), 0) for i in range(400)] + [(0, None, None), (None, 1, 1), (5, 7, 0), (3, 0, 0)]
+    labels = spark.createDataFrame(marks, "doc_id bigint, quality int, toxic int")
+    trees = quality.fit(docs, labels)
+    for r in quality.score_documents(docs, trees).collect():
+        if zlib.crc32(str(r.doc_id).encode()) % 4 == 2:
+            assert (r.score >= 0.7) == (r.doc_id % 3 > 0)
+    scored = quality.score_documents(messy(spark), trees).collect()
+    assert len(scored) == len(TEXTS) and all(0 <= r.score <= 1 for r in scored)
+    assert quality.score_documents(empty(spark), trees).count() == 0
+    nothing = quality.fit(docs, labels.where("false"))
+    assert {r.score for r in quality.score_documents(docs, nothing).collect()} == {0.5}
+    one_kind = quality.fit(docs, labels.where("quality = 1"))
+    assert all(r.score > 0.9 for r in quality.score_documents(docs, one_kind).collect())
+
+
+def test_flattened_trees_equal_a_walk():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(300, 5))
+    y = ((x[:, 0] > 0.3) ^ (x[:, 2] < -0.2)).astype(float)
+    trees = quality.boost(x, y)
+    got = trees.scores(x)
+    assert ((got > 0.5) == y).mean() > 0.97
+    for i in (0, 5, 17):
+        total = trees.start
+        for feature, threshold, leaf in zip(trees.feature, trees.threshold, trees.leaf):
+            node = 0
+            while node < len(feature):
+                node = 2 * node + 1 + int(x[i, feature[node]] > threshold[node])
+            total += leaf[node - len(feature)]
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-total)))

@@ -19,7 +19,7 @@ BASE_PHRASES = {
     "mit license": "mit",
 }
 
-V = "(?:version |v )?"
+V = "(?:version |v ?)?"
 
 # Licences by hand: label, keyword that gates its rules, ways to name it.
 FAMILIES = [
