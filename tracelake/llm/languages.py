@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,7 +33,7 @@ UNKNOWN = "und"
 # The bound of the sample that the model is fitted on, in rows.
 ROWS_PER_LANGUAGE = 1000
 MAX_ROWS = 10_000
-PIECE_WORDS = (3, 6, 15, 40, 80)
+PIECE_WORDS = (3, 6, 15, 40)
 BUCKETS = 1 << 15
 WIDTH = 8
 EPOCHS = 3
@@ -157,15 +158,17 @@ def sample(docs: DataFrame) -> DataFrame:
                         pa.array([name] * len(found), pa.string()),
                         pa.array([lang.as_py()] * len(found), pa.string()),
                         pa.array([held] * len(found), pa.bool_()),
+                        pa.array(range(len(found)), pa.int32()),
                         pa.array([b.astype(np.int32) for b, _ in found], pa.list_(pa.int32())),
                         pa.array([c.astype(np.float32) for _, c in found], pa.list_(pa.float32())),
                     ],
-                    names=["id", "lang", "held", "buckets", "counts"],
+                    names=["id", "lang", "held", "piece", "buckets", "counts"],
                 )
 
     # at most MAX_ROWS ids, so the broadcast is bounded
     return rows.join(F.broadcast(picked), "_id").select("_id", "_lang", "_text").mapInArrow(
-        to_bags, "id string, lang string, held boolean, buckets array<int>, counts array<float>"
+        to_bags,
+        "id string, lang string, held boolean, piece int, buckets array<int>, counts array<float>",
     )
 
 
@@ -183,16 +186,21 @@ def pieces(name: str, text: str) -> list[str]:
 
 def fit(docs: DataFrame) -> LanguageModel:
     """Train on at most ``MAX_ROWS`` rows (ids may repeat) of ``docs``."""
-    rows = sample(docs).toArrow().to_pylist()
-    rows = sorted((r for r in rows if r["buckets"]), key=lambda r: (r["id"], r["lang"]))
-    languages = sorted({r["lang"] for r in rows})
+    rows = sample(docs).toArrow().sort_by([(c, "ascending") for c in ("id", "lang", "piece")])
+    rows = rows.filter(pc.greater(pc.list_value_length(rows.column("buckets")), 0)).combine_chunks()
+    lang = rows.column("lang").to_pylist()
+    languages = sorted(set(lang))
     if not languages:
         return LanguageModel([], np.zeros((BUCKETS, 1)), np.zeros(1), 1.0, 0.0)
     rng = np.random.default_rng(SEED)
     number = {lang: k for k, lang in enumerate(languages)}
-    target = np.array([number[r["lang"]] for r in rows])
-    is_held = np.array([r["held"] for r in rows])
-    xs = [(np.array(r["buckets"]), np.array(r["counts"]) / sum(r["counts"])) for r in rows]
+    target = np.array([number[name] for name in lang])
+    is_held = np.array(rows.column("held"))
+    # views into the columns; the sample is never turned into objects
+    buckets_of, counts_of = (
+        np.split(column.flatten().to_numpy(), column.offsets.to_numpy()[1:-1])
+        for column in (rows.column(c).chunk(0) for c in ("buckets", "counts"))
+    )
     held, train = np.flatnonzero(is_held), np.flatnonzero(~is_held)
     table = rng.normal(0, 0.1, (BUCKETS, WIDTH))
     linear = rng.normal(0, 0.1, (WIDTH, len(languages)))
@@ -204,7 +212,7 @@ def fit(docs: DataFrame) -> LanguageModel:
         for i in rng.permutation(train):
             rate = RATE * (1 - done / all_steps)
             done += 1
-            buckets, share = xs[i]
+            buckets, share = buckets_of[i], counts_of[i] / counts_of[i].sum()
             mean = share @ table[buckets]
             score = mean @ linear + bias
             p = np.exp(score - score.max())
@@ -218,7 +226,9 @@ def fit(docs: DataFrame) -> LanguageModel:
     weights = table @ linear
     if not len(held):
         return LanguageModel(languages, weights, bias, 1.0, 0.0)
-    raw = np.stack([xs[i][1] @ weights[xs[i][0]] + bias for i in held])
+    raw = np.stack(
+        [counts_of[i] / counts_of[i].sum() @ weights[buckets_of[i]] + bias for i in held]
+    )
     return LanguageModel(languages, weights, bias, *calibrate(raw, target[held]))
 
 
