@@ -225,8 +225,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         roots.join(by_fp, "fp").groupBy("root").agg(F.min("first_id").alias("least_id"))
     )
     in_groups = roots.join(named, "root").select("fp", "least_id")
-    names = by_fp.join(in_groups, "fp", "left").select(
-        "fp", F.coalesce("least_id", "first_id").alias("component_id")
+    # stored, so that the last join is one of two exchanges, which can be split where
+    # a third of all rows share a fingerprint
+    names = stored(
+        by_fp.join(in_groups, "fp", "left").select(
+            "fp", F.coalesce("least_id", "first_id").alias("component_id")
+        ),
+        "component-names",
     )
     return by_doc.join(names, "fp").select("doc_id", "fp", "component_id")
 
