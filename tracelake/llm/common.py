@@ -62,6 +62,21 @@ def id_remainder(name: str, modulus: int) -> Column:
     return F.crc32(text.cast("binary")) % modulus
 
 
+def below(order: Column, share: Column) -> Column:
+    """Whether a 64-bit hash is among the lowest ``share`` of all numbers."""
+    return order.cast("double") < F.lit(-(2.0**63)) + share * F.lit(2.0**64)
+
+
+def bounded_sample(rows: DataFrame, order: Column, bound: int) -> DataFrame:
+    """At most ``bound`` rows, the lowest by a hash.
+
+    A little more than the bound is taken by the hash alone; only these rows are
+    ordered and cut, so no task meets many of them.
+    """
+    share = min(1.0, 1.2 * bound / max(rows.count(), 1))
+    return rows.where(below(order, F.lit(share))).orderBy(order).limit(bound)
+
+
 def steps(texts: pa.Array, bound: int = STEP_CHARS) -> Iterator[list[str]]:
     """The texts of a batch in lists of about ``bound`` characters; null is empty.
 

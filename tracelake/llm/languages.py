@@ -24,13 +24,25 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import id_remainder, ship, steps, struct_array, text_of, with_result
+from tracelake.llm.common import (
+    below,
+    bounded_sample,
+    id_remainder,
+    ship,
+    steps,
+    stored,
+    struct_array,
+    text_of,
+    with_result,
+)
+from tracelake.plans.joins import lookup_join
 
 UNKNOWN = "und"
-# The bound of the sample that the model is fitted on, in rows.
+# The sample that the model is fitted on, in rows: about so many of each language,
+# and so many in all at most.
 ROWS_PER_LANGUAGE = 1000
 MAX_ROWS = 10_000
 PIECE_WORDS = (3, 6, 15, 40)
@@ -40,6 +52,9 @@ EPOCHS = 3
 RATE = 0.5
 # Share of correctly predicted texts of the held-back part that may be rejected.
 REJECTED_SHARE = 0.001
+# The confidence to reject below is never above this: a text in two languages, each
+# known, has about one half and is no reason to reject it.
+MOST_LEAST = 0.4
 SEED = 7
 
 RESULT = "struct<lang_pred: string, score: double, rejected: boolean>"
@@ -137,15 +152,18 @@ def sample(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("string").alias("_id"), F.col("lang").alias("_lang"),
         id_remainder("doc_id", 5).alias("_part"), F.col("text").alias("_text"),
     ).where("_part != 0 AND _lang IS NOT NULL AND _id IS NOT NULL")
-    ranked = rows.select("_id", "_lang", order.alias("_order")).withColumn(
-        "_rank", F.row_number().over(Window.partitionBy("_lang").orderBy("_order", "_id"))
-    )
-    picked = (
-        ranked.where(F.col("_rank") <= ROWS_PER_LANGUAGE)
-        .orderBy("_rank", "_order", "_id")
-        .limit(MAX_ROWS)
-        .select("_id").distinct()
-    )
+    # about the bound of each language by the hash alone, so no task meets a language
+    names = rows.select("_id", "_lang", order.alias("_order"))
+    shares = names.groupBy("_lang").agg((ROWS_PER_LANGUAGE / F.count("*")).alias("_share"))
+    picked = bounded_sample(
+        stored(
+            lookup_join(names, shares, ["_lang"], spread_by="_id")
+            .where(below(F.col("_order"), F.col("_share")))
+            .select("_id", "_order").distinct(),
+            "language-sample",
+        ),
+        F.col("_order"), MAX_ROWS,
+    ).select("_id")
 
     def to_bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -242,8 +260,7 @@ def calibrate(raw: np.ndarray, target: np.ndarray) -> tuple[float, float]:
     right = p.argmax(axis=1) == target
     if not right.any():
         return best[1], 0.0
-    # never reject what is more likely right than wrong
-    return best[1], float(min(np.quantile(p.max(axis=1)[right], REJECTED_SHARE), 0.5))
+    return best[1], float(min(np.quantile(p.max(axis=1)[right], REJECTED_SHARE), MOST_LEAST))
 
 
 def language_of(model: LanguageModel, spark) -> "callable":

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import id_remainder, ship, text_of, with_result
+from tracelake.llm.common import bounded_sample, id_remainder, ship, text_of, with_result
 
 # The bound of the sample that the trees are fitted on, in rows.
 SAMPLE_ROWS = 20_000
@@ -179,15 +179,12 @@ def sample(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFr
     Learnt from are ids whose remainder modulo four is not two.
     """
     ship(docs.sparkSession)
-    picked = (
-        labels.select(
-            F.col("doc_id").alias("_id"), F.col(f"`{label}`").cast("int").alias("_y"),
-            id_remainder("doc_id", 4).alias("_part"),
-        )
-        .where("_part != 2 AND _y IN (0, 1) AND _id IS NOT NULL")
-        .orderBy(F.xxhash64(F.lit("quality sample"), F.col("_id").cast("string")), "_id", "_y")
-        .limit(SAMPLE_ROWS)
-    )
+    known = labels.select(
+        F.col("doc_id").alias("_id"), F.col(f"`{label}`").cast("int").alias("_y"),
+        id_remainder("doc_id", 4).alias("_part"),
+    ).where("_part != 2 AND _y IN (0, 1) AND _id IS NOT NULL")
+    order = F.xxhash64(F.lit("quality sample"), F.col("_id").cast("string"), F.col("_y"))
+    picked = bounded_sample(known, order, SAMPLE_ROWS)
 
     def describe(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
