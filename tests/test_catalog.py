@@ -140,13 +140,18 @@ def test_snapshot_refolds_to_itself(spark, seed):
     assert catalog_as_dicts(C.fold(rows.select(*LOG_COLUMNS))) == kept
 
 
-def test_large_value_tables_are_spread(spark, monkeypatch):
-    monkeypatch.setattr(C, "TABLE_ENTRIES", 4)
-    entries = [("int32", n, f"l{n}") for n in range(30)]
+def test_a_large_value_table_is_one_message_unless_asked(spark):
+    entries = [("int32", n, f"l{n}") for n in range(25_000)]
     messages = [schema(1, SEG_A, "e", [("a", "int32")]), named(2, SEG_A, "e", "a", entries)]
-    rows = C.snapshot(C.fold(log_of(spark, messages)))
-    assert rows.where("kind = 'named_values'").count() > 1
-    assert catalog_as_dicts(C.fold(rows.select(*LOG_COLUMNS))) == sequential_fold(messages)
+    folded = C.fold(log_of(spark, messages))
+    rows = C.snapshot(folded)
+    named_rows = rows.where("kind = 'named_values'").select("seq", "named_values").collect()
+    assert len(named_rows) == 1 and len(named_rows[0].named_values["values"]) == 25_000
+    assert rows.select("seq").distinct().count() == rows.count()
+    spread = C.snapshot(folded, table_entries=10_000)
+    parts = spread.where("kind = 'named_values'").select("seq", "part_no").collect()
+    assert len(parts) == 3 == len(set(parts))
+    assert catalog_as_dicts(C.fold(spread.select(*LOG_COLUMNS))) == sequential_fold(messages)
 
 
 def test_signals(spark):

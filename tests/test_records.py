@@ -275,11 +275,34 @@ def test_wire_validity(spark):
     assert batches.accepted(checked).count() == sum(e is None for _, e in WIRE_CASES)
 
 
+def test_sequence_numbers_follow_batches_of_any_number(spark):
+    rows = [("b", 2**44, [GOOD] * 3), ("a", 2**44, [GOOD]), ("a", 5, [GOOD] * 2), (None, 2**62, [GOOD]),
+            ("c", 7, []), ("c", 8, None)]
+    flat = batches.flatten_batches(spark.createDataFrame(rows, BATCH_DDL), first_seq=100)
+    got = [(r.stream_id, r.batch_no, r.pos, r.seq) for r in flat.orderBy("seq").collect()]
+    assert got == [
+        ("a", 5, 0, 100), ("a", 5, 1, 101), ("a", 2**44, 0, 102), ("b", 2**44, 0, 103),
+        ("b", 2**44, 1, 104), ("b", 2**44, 2, 105), (None, 2**62, 0, 106),
+    ]
+
+
+def test_undecodable_batches_are_quarantined_and_counted(spark):
+    rows = [("s", 1, [GOOD, GOOD], None), ("s", 2, None, "undecodable"), ("t", 3, None, "undecodable")]
+    df = spark.createDataFrame(rows, BATCH_DDL + ", decode_error string")
+    checked = batches.check_messages(batches.flatten_batches(df))
+    bad = {(r.stream_id, r.batch_no, r.error) for r in batches.quarantined(checked).collect()}
+    assert bad == {("s", 2, "undecodable"), ("t", 3, "undecodable")}
+    status = {r.stream_id: r for r in batches.publish_status(checked).collect()}
+    assert (status["s"].total_messages, status["s"].failed_messages) == (3, 1)
+    assert (status["t"].total_messages, status["t"].last_error) == (1, "undecodable")
+    assert batches.accepted(checked).count() == 2
+
+
 def test_accepted_rows_use_the_log_layout(spark):
     df = spark.createDataFrame([("st", 3, [GOOD, with_field(raw("uint64", u=7))])], BATCH_DDL)
     rows = batches.accepted(batches.check_messages(batches.flatten_batches(df))).orderBy("seq")
     first, second = rows.collect()
-    assert (first.seq, second.seq) == (3 << 20, (3 << 20) + 1)
+    assert (first.seq, second.seq) == (0, 1)
     assert first.segment_id == SEG_A
     assert plain(first.event.fields[0].value) == value("uint8", 255)
     assert plain(second.event.fields[0].value) == value("uint64", 7)
@@ -401,7 +424,7 @@ def test_wire_bytes_are_as_documented(spark):
     decoded = wire.decode_batches(df)
     assert [r.batch_no for r in decoded.where("decode_error = 'undecodable'").collect()] == [2]
     checked = batches.check_messages(batches.flatten_batches(decoded)).orderBy("seq").collect()
-    assert [r.error for r in checked] == [None, "missing_value"]
+    assert [r.error for r in checked] == [None, "missing_value", "undecodable"]
     assert plain(checked[0].event.fields) == [("x", raw("uint8", u=7))]
     assert checked[0].event.time_ns == 5 and checked[0].source_name == "s"
 

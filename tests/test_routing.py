@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.messages import (
     SEG_A, SEG_B, SEG_C, end, event, log_of, named, random_log, schema, start,
@@ -9,6 +10,7 @@ from tests.messages import (
 from tracelake.operators import filters, subscriptions as subs
 from tracelake.operators.batching import number_batches, responses, unpack
 from tracelake.plans.ordered import next_marked, running_number
+from tracelake.session import shared_folder
 
 FILTERS = "subscriber_id string, segment_id string, source_name string, event_name string"
 
@@ -220,3 +222,31 @@ def test_responses_unpack_to_what_was_routed(spark):
     rows = unpack(packed).orderBy("batch_no", "pos").collect()
     assert [r.event.time_ns for r in rows] == sorted(list(range(9)) * 2)
     assert [r.batch_no for r in rows] == [n // 4 for n in range(18)]
+
+
+def test_null_keys_are_keys(spark):
+    rows = [(1, "a"), (2, None), (3, None), (4, "a")]
+    df = spark.createDataFrame(rows, "seq bigint, stream string")
+    got = running_number(df, ["stream"], "n", block_bits=1).collect()
+    assert sorted((r.seq, r.n) for r in got) == [(1, 0), (2, 0), (3, 1), (4, 1)]
+    marked = next_marked(df, ["stream"], F.col("seq") >= 3, "next", block_bits=1).collect()
+    assert sorted((r.seq, r.next) for r in marked) == [(1, 4), (2, 3), (3, None), (4, None)]
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session())

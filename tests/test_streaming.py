@@ -47,6 +47,34 @@ def test_repeated_batch_changes_nothing(spark):
     assert catalog_as_dicts(CS.read_catalog(spark, root)) == sequential_fold(messages)
 
 
+def test_nothing_is_seen_before_the_first_commit(spark):
+    root = new_folder(spark, "cat")
+    assert catalog_as_dicts(CS.read_catalog(spark, root)) == {}
+    messages = random_log(3)
+    # an attempt that was cut off before its commit
+    CS._write(CS.fold_state(log_of(spark, messages), "update"), root, 0)
+    assert catalog_as_dicts(CS.read_catalog(spark, root)) == {}
+    CS.update_catalog(log_of(spark, messages), 0, root)
+    assert catalog_as_dicts(CS.read_catalog(spark, root)) == sequential_fold(messages)
+
+
+def test_compaction_after_a_removal(spark):
+    messages = [
+        start(1, SEG_A, 5, "s"), schema(2, SEG_A, "e", [("a", "int8")]),
+        start(12, SEG_A, 99, "s"), schema(13, SEG_A, "f", [("b", "int8")]),
+    ]
+    tombs = spark.createDataFrame([(SEG_A, 10)], "segment_id string, seq bigint")
+    root, log = new_folder(spark, "cat"), log_of(spark, messages)
+    CS.update_catalog(log.where("seq <= 2"), 0, root)
+    CS.update_catalog(log.where("seq > 2"), 1, root, tombstones=tombs)
+    want = sequential_fold(messages, tombstones=[(SEG_A, 10)])
+    assert catalog_as_dicts(CS.read_catalog(spark, root, tombs)) == want
+    smaller = new_folder(spark, "cat")
+    CS.compact(spark, root, smaller, 2, tombs)
+    assert catalog_as_dicts(CS.read_catalog(spark, smaller, tombs)) == want
+    assert catalog_as_dicts(CS.read_catalog(spark, smaller)) == want
+
+
 def test_removal_between_batches(spark):
     messages = [
         start(1, SEG_A, 5, "s"), schema(2, SEG_A, "e", [("a", "int8")]), end(4, SEG_A, 9, "late"),

@@ -53,9 +53,6 @@ class Catalog:
     value_tables: DataFrame
 
 
-# Entries of one value-table message in a snapshot, about.
-TABLE_ENTRIES = 10_000
-
 SEGMENT_STATE_DDL = (
     "segment_id STRING, start_time_ns BIGINT, start_seq BIGINT, start_source STRING, "
     "first_seq BIGINT, first_source STRING, end_seq BIGINT, end_time_ns BIGINT, last_seq BIGINT"
@@ -243,13 +240,18 @@ def drop_removed(log: DataFrame, tombstones: DataFrame) -> DataFrame:
     )
 
 
-def snapshot(catalog: Catalog) -> DataFrame:
+def snapshot(catalog: Catalog, table_entries: int | None = None) -> DataFrame:
     """The minimal control log that rebuilds the catalog (M8).
 
     Rows keep the ``seq`` of the message that decided them, so a snapshot up to
     ``s`` and the live log after ``s`` never clash. The delivery order inside a
     segment is (``phase``, ``event_name``, ``field_pos``): start, then each
     schema followed by its value tables, then end.
+
+    A value table is one message, gathered in one task as its shape demands: all
+    entries that one field has. With ``table_entries`` a larger table is spread
+    over several messages that fold back to it; ``part_no`` tells them apart, as
+    they may share the ``seq`` of one message, and comes last in the order.
     """
     source = catalog.segments.select("segment_id", F.col("source").alias("source_name"))
     start = catalog.segments.where(F.col("start_time_ns").isNotNull()).select(
@@ -286,15 +288,16 @@ def snapshot(catalog: Catalog) -> DataFrame:
     )
     entry = F.struct("seq", "pos", "value", "label")
     owner = ["segment_id", "event_name", "field_name", "field_pos"]
-    # One message per field, as long as its table is of ordinary size. A larger
-    # one is spread over several, which fold back to the same table.
-    sizes = catalog.value_tables.groupBy(*owner).agg(
-        F.ceil(F.count(F.lit(1)) / TABLE_ENTRIES).alias("_messages")
-    )
+    tables = catalog.value_tables.withColumn("part_no", F.lit(0).cast("bigint"))
+    if table_entries is not None:
+        sizes = catalog.value_tables.groupBy(*owner).agg(
+            F.ceil(F.count(F.lit(1)) / table_entries).alias("_messages")
+        )
+        tables = catalog.value_tables.join(sizes, owner).withColumn(
+            "part_no", F.pmod(F.xxhash64("tag", "key"), F.col("_messages"))
+        )
     named = (
-        catalog.value_tables.join(sizes, owner)
-        .withColumn("_part", F.pmod(F.xxhash64("tag", "key"), F.col("_messages")))
-        .groupBy(*owner, "_part")
+        tables.groupBy(*owner, "part_no")
         .agg(F.max("seq").alias("seq"), F.sort_array(F.collect_list(entry)).alias("entries"))
         .join(source, "segment_id")
         .select(
@@ -313,6 +316,7 @@ def snapshot(catalog: Catalog) -> DataFrame:
             F.lit(1).alias("phase"),
             "event_name",
             "field_pos",
+            "part_no",
         )
     )
     rows = None
@@ -320,7 +324,12 @@ def snapshot(catalog: Catalog) -> DataFrame:
         missing = {
             k: F.lit(None).cast(PAYLOAD_DDL[k]) for k in PAYLOAD_DDL if k not in part.columns
         }
-        part = part.withColumns(missing).select(*LOG_COLUMNS, "phase", "event_name", "field_pos")
+        order = ["phase", "event_name", "field_pos"]
+        if table_entries is not None:
+            order.append("part_no")
+            missing.setdefault("part_no", F.lit(0).cast("bigint"))
+            missing = {k: v for k, v in missing.items() if k not in part.columns}
+        part = part.withColumns(missing).select(*LOG_COLUMNS, *order)
         rows = part if rows is None else rows.unionByName(part)
     return rows
 

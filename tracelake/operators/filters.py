@@ -1,9 +1,11 @@
 """Filter texts, matching and routing.
 
 Routing is an equi-join. A filter fixes any subset of (segment, source, event),
-so there are eight shapes; each message is probed once per shape that is in use
-and every filter has exactly one key it can be found under. No nested loops,
-whatever the number of filters.
+so there are eight shapes, and every filter has exactly one key it can be found
+under. Whether a message matches depends on its segment, source and event only:
+the distinct ones of a log, which are few, are probed once per shape in use. The
+log itself is joined with what matched; no message is copied before it matches,
+and there are no nested loops, whatever the number of filters.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tracelake.functions.identifiers import UUID_PATTERN, normalize_uuid
 from tracelake.model import EVENT
-from tracelake.plans.joins import lookup_join, settle
+from tracelake.plans.joins import Settled, lookup_join, settle
 
 
 def parse_filters(texts: DataFrame, column: str = "filter") -> DataFrame:
@@ -77,9 +79,52 @@ def _filter_keys(filters: DataFrame) -> DataFrame:
     )
 
 
+_KEYS = ["_shape", "_k_segment_id", "_k_source_name", "_k_event_name"]
+_PLACE = ["_p_segment", "_p_source", "_p_event"]
+
+
+def settle_filters(filters: DataFrame) -> Settled:
+    """Filters computed and measured once, for routing several times."""
+    return settle(_filter_keys(filters))
+
+
+def _with_place(log: DataFrame) -> DataFrame:
+    """What matching depends on, never null: segment, source, and event or control."""
+    named = lambda c: F.coalesce(F.concat(F.lit("="), c), F.lit(""))
+    return log.withColumns({
+        "_p_segment": named(F.col("segment_id")),
+        "_p_source": named(F.col("source_name")),
+        "_p_event": F.when(F.col("kind") == EVENT, named(F.col("event.name"))).otherwise("control"),
+    })
+
+
+def _matches(placed: DataFrame, keys: DataFrame) -> DataFrame:
+    """The filter keys that each distinct place of the log matches, eight at most."""
+    # at most eight rows, by construction of the shape
+    shapes = sorted(r["_shape"] for r in keys.select("_shape").distinct().collect()) or [0]
+    empty = F.lit("")
+    value = lambda c: F.when(F.col(c).startswith("="), F.substring(c, 2, 1 << 30))
+    probes = [
+        F.struct(
+            F.lit(shape).alias("_shape"),
+            # null for what is missing or a control message: it equals no filter's part
+            (value("_p_segment") if shape & 1 else empty).alias("_k_segment_id"),
+            (value("_p_source") if shape & 2 else empty).alias("_k_source_name"),
+            (value("_p_event") if shape & 4 else empty).alias("_k_event_name"),
+        )
+        for shape in shapes
+    ]
+    places = placed.select(*_PLACE).distinct()
+    probed = places.select(*_PLACE, F.explode(F.array(*probes)).alias("_probe"))
+    return lookup_join(
+        probed.select(*_PLACE, "_probe.*"), keys.select(*_KEYS).distinct(), _KEYS, "left_semi",
+        spread_by="_p_segment",
+    )
+
+
 def route(
     log: DataFrame,
-    filters: DataFrame,
+    filters: DataFrame | Settled,
     residual: Callable[[DataFrame, DataFrame], Column] | None = None,
     also_on: Sequence[str] = (),
 ) -> DataFrame:
@@ -89,26 +134,16 @@ def route(
     further columns, which are carried along. Bag semantics: a message that
     matches two filters of one subscriber is delivered twice; a subscriber to
     everything is one all-null filter; no filters, no rows. ``also_on`` names
-    columns of both sides that have to be equal as well.
+    columns of both sides that have to be equal as well. The places of the log
+    and the filters are computed while the plan is built.
     """
-    side = settle(_filter_keys(filters))
-    # at most eight rows, by construction of the shape
-    shapes = sorted(r["_shape"] for r in side.df.select("_shape").distinct().collect())
-    if not shapes:
-        shapes = [0]
-    empty = F.lit("")
-    event_name = F.when(F.col("kind") == EVENT, F.col("event.name"))
-    probes = [
-        F.struct(
-            F.lit(shape).alias("_shape"),
-            (F.col("segment_id") if shape & 1 else empty).alias("_k_segment_id"),
-            (F.col("source_name") if shape & 2 else empty).alias("_k_source_name"),
-            # null for a control message: it never equals a filter's event
-            (event_name if shape & 4 else empty).alias("_k_event_name"),
-        )
-        for shape in shapes
-    ]
-    probed = log.withColumn("_probe", F.explode(F.array(*probes))).select("*", "_probe.*")
-    keys = ["_shape", "_k_segment_id", "_k_source_name", "_k_event_name", *also_on]
-    joined = lookup_join(probed.drop("_probe"), side, keys, residual=residual)
-    return joined.drop(*keys)
+    side = filters if isinstance(filters, Settled) else settle_filters(filters)
+    placed = _with_place(log)
+    matches = _matches(placed, side.df)
+    if residual is None and not also_on:
+        rows = lookup_join(matches, side, _KEYS, spread_by="_p_segment").drop(*_KEYS)
+        return lookup_join(placed, rows, _PLACE).drop(*_PLACE)
+    # first the keys, then those rows of the filters that the further conditions leave
+    keyed = lookup_join(placed, matches, _PLACE).drop(*_PLACE)
+    keys = [*_KEYS, *also_on]
+    return lookup_join(keyed, side, keys, residual=residual).drop(*keys)

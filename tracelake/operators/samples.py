@@ -67,7 +67,7 @@ def latest_values(log: DataFrame) -> DataFrame:
         .select(*keys, F.pmod("rank", shift.cast(wide)).cast("bigint").alias("seq"))
     )
     side = settle(winners)
-    picked = lookup_join(events, side.df.select("seq").distinct(), ["seq"], "left_semi")
+    picked = lookup_join(events, side.df.select("seq").distinct(), ["seq"], "left_semi", unique=True)
     return lookup_join(explode_events(picked), side, [*keys, "seq"]).select(
         *keys,
         "time_ns",

@@ -2,8 +2,9 @@
 
 Nothing is broadcast on a guess: the small side is computed once, its rows and
 bytes are measured, and only then is the join strategy picked. Beyond the bound
-the join is a shuffle join in which the most frequent keys are salted, so that
-a key holding a large share of all rows is spread over many tasks.
+the join is a shuffle join in which frequent keys are salted, each by its share of
+all rows. Side tables are written while the plan is built, and the result is
+bound to what they held then.
 """
 
 from __future__ import annotations
@@ -19,10 +20,9 @@ from tracelake.session import new_folder
 MAX_ROWS_CONF = "spark.tracelake.broadcast.maxRows"
 MAX_BYTES_CONF = "spark.tracelake.broadcast.maxBytes"
 SALTS_CONF = "spark.tracelake.join.salts"
-_DEFAULTS = {MAX_ROWS_CONF: 500_000, MAX_BYTES_CONF: 128 * 1024 * 1024, SALTS_CONF: 128}
-# How many of the most frequent keys are salted: enough for any key that holds
-# more than a thousandth of the rows, few enough to broadcast.
-SALTED_KEYS = 1000
+# A key is cut into pieces of at most one part in SALTS_CONF of all rows. At most
+# so many keys hold more than that, so the list of frequent keys is bounded.
+_DEFAULTS = {MAX_ROWS_CONF: 500_000, MAX_BYTES_CONF: 128 * 1024 * 1024, SALTS_CONF: 10_000}
 
 
 def setting(df: DataFrame, name: str) -> int:
@@ -52,20 +52,16 @@ def written(df: DataFrame) -> DataFrame:
 def settle(df: DataFrame) -> Settled:
     """Compute a side table once and measure it.
 
-    The measurement stops after the row bound, so a table that turns out to be
-    big costs no more than the rows that prove it.
+    The measurement is an aggregate over the stored table, in as many tasks as it
+    has parts.
     """
     kept = written(df)
     max_rows = setting(df, MAX_ROWS_CONF)
     text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in kept.columns]))
-    seen = (
-        kept.limit(max_rows + 1)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("size"),
-        )
-        .first()
-    )
+    seen = kept.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("size"),
+    ).first()
     small = seen["n"] <= max_rows and seen["size"] <= setting(df, MAX_BYTES_CONF)
     return Settled(kept, small)
 
@@ -78,19 +74,23 @@ def lookup_join(
     *,
     spread_by: str = "seq",
     residual: Callable[[DataFrame, DataFrame], Column] | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Join ``big`` to ``small`` on equal columns plus an optional extra condition.
 
     ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti`` with ``big``
     on the left. The salted form is exact for all of them: every big row meets
     one full copy of the small rows of its key. ``spread_by`` is a column of
-    ``big`` that differs between rows of one key.
+    ``big`` that differs between rows of one key. ``unique`` says that no key of
+    ``big`` is frequent, so that none has to be looked for.
     """
     side = small if isinstance(small, Settled) else settle(small)
     keep_right = how in ("inner", "left")
     on = list(on)
     if side.broadcastable:
         left, right, keys = big, F.broadcast(side.df), on
+    elif unique:
+        left, right, keys = big, side.df, on
     else:
         left, right = _salted(big, side.df, on, spread_by)
         keys = [*on, "_salt"]
@@ -117,20 +117,18 @@ def _salted(
     Which keys are picked changes only the layout, never the result. The list
     is stored first so that both sides always see the same one.
     """
-    salts = setting(big, SALTS_CONF)
+    share = setting(big, SALTS_CONF)
+    counts = written(big.groupBy(*on).count())
+    total = counts.agg(F.sum("count")).first()[0] or 0
     frequent = written(
-        big.groupBy(*on)
-        .count()
-        .orderBy(F.desc("count"))
-        .limit(SALTED_KEYS)
-        .select(*on, F.lit(True).alias("_frequent"))
+        counts.where(F.col("count") * share > total).select(
+            *on, F.ceil(F.col("count") * share / F.lit(max(total, 1))).cast("int").alias("_frequent")
+        )
     )
-    spread = F.pmod(F.xxhash64(F.col(spread_by)), F.lit(salts)).cast("int")
+    spread = F.pmod(F.xxhash64(F.col(spread_by)), F.col("_frequent")).cast("int")
     left = big.join(F.broadcast(frequent), on, "left").withColumn(
-        "_salt", F.when(F.col("_frequent"), spread).otherwise(F.lit(0))
-    )
-    copies = F.when(F.col("_frequent"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
+        "_salt", F.coalesce(spread, F.lit(0))
     )
+    copies = F.sequence(F.lit(0), F.coalesce(F.col("_frequent"), F.lit(1)) - 1)
     right = small.join(F.broadcast(frequent), on, "left").withColumn("_salt", F.explode(copies))
     return left.drop("_frequent"), right.drop("_frequent")

@@ -259,7 +259,7 @@ _WIRE = """
               WHEN event_id % 43 = 0 THEN 4294967296 ELSE event_id % 4 END AS num
   FROM ev
 ), wire_checked AS (
-  SELECT *, batch_no * 1048576 + pos AS wseq,
+  SELECT *, row_number() OVER (ORDER BY batch_no, stream_id, pos) - 1 AS wseq,
     CASE WHEN event_id % 47 = 0 THEN 'invalid_uuid'
          WHEN kind IS NULL THEN 'missing_message'
          WHEN kind = 'event_schema' AND event_id % 2 <> 0 THEN 'missing_data_type'
@@ -314,11 +314,13 @@ ORACLE = {
         "SELECT segment_id, source, start_time_ns, end_time_ns FROM cat_segments"
     ),
     "segments_fold_from": _with("""
-, tail AS (SELECT * FROM envelopes WHERE seq >= 10000)
-SELECT segment_id, arg_min(source_name, seq) AS source, CAST(NULL AS BIGINT) AS start_time_ns,
-       arg_max(time_ns, seq) FILTER (WHERE kind = 'segment_end') AS end_time_ns,
-       min(seq) AS first_seq
-FROM tail GROUP BY segment_id
+SELECT segment_id,
+  coalesce(arg_max(source_name, seq) FILTER (WHERE kind = 'segment_start'),
+           arg_min(source_name, seq)) AS source,
+  min(time_ns) FILTER (WHERE kind = 'segment_start') AS start_time_ns,
+  arg_max(time_ns, seq) FILTER (WHERE kind = 'segment_end') AS end_time_ns,
+  min(seq) AS first_seq
+FROM envelopes GROUP BY segment_id
 """),
     "remove_segment": _with("""
 , kept AS (
@@ -537,6 +539,18 @@ SELECT stream_id, count(*) AS total_messages,
        count(*) FILTER (WHERE error IS NULL) AS successful_messages, count(error) AS failed_messages,
        coalesce(arg_max(error, wseq) FILTER (WHERE error IS NOT NULL), '') AS last_error
 FROM wire_checked GROUP BY stream_id
+"""),
+    "undecodable_status": _with(_WIRE, """
+, lines AS (
+  SELECT stream_id, batch_no, pos, error FROM wire_checked WHERE batch_no % 7 <> 3
+  UNION ALL
+  SELECT DISTINCT stream_id, batch_no, 0, 'undecodable' FROM wire_checked WHERE batch_no % 7 = 3
+)
+SELECT stream_id, count(*) AS total_messages,
+       count(*) FILTER (WHERE error IS NULL) AS successful_messages, count(error) AS failed_messages,
+       coalesce(arg_max(error, batch_no * 1048576 + pos) FILTER (WHERE error IS NOT NULL), '')
+         AS last_error
+FROM lines GROUP BY stream_id
 """),
     "strict_publish_status": _with(_WIRE, """
 , bad AS (
@@ -685,6 +699,9 @@ FROM moved
 ORACLE["stream_catalog"] = ORACLE["signals"]
 ORACLE["stream_route"] = ORACLE["filter_route"]
 ORACLE["stream_ingest"] = ORACLE["publish_status"]
+ORACLE["stream_remove_segment"] = ORACLE["remove_segment"]
+ORACLE["stream_subscriptions"] = ORACLE["subscription_route"]
+ORACLE["stream_late_subscriber"] = ORACLE["late_subscriber"]
 ORACLE["stream_store"] = _with("""
 SELECT s.segment_id, s.source, s.start_time_ns, s.end_time_ns, count(*) AS messages,
        CAST(sum(e.seq) AS BIGINT) AS sum_seq

@@ -4,7 +4,7 @@
 ``2**20`` rows whatever the data: windows run inside blocks, and block totals
 are combined over two more levels that are bounded in the same way. A key that
 holds a third of all rows is thereby spread over as many tasks as it has
-blocks. Key columns must not be null, as nothing in the log's envelope is.
+blocks. Null keys are a key like any other.
 """
 
 from __future__ import annotations
@@ -26,18 +26,30 @@ def running_number(
     *,
     seq: str = "seq",
     tie: str | None = None,
+    weight: Column | None = None,
     block_bits: int = BLOCK_BITS,
 ) -> DataFrame:
-    """Add the 0-based position of each row in its key by ``seq``, then ``tie``."""
+    """Add the 0-based position of each row in its key by ``seq``, then ``tie``.
+
+    With ``weight`` a row counts that often: the sum over all earlier rows. A
+    block holds 2^20 sequence numbers, times the rows that share one. Block totals
+    are stored and measured while the plan is built, so the result is bound to
+    ``df`` as it is then.
+    """
     keys = list(keys)
+    weight = F.lit(1) if weight is None else weight
+    earlier = (Window.unboundedPreceding, -1)
     blocked = df.withColumn("_block", F.shiftright(F.col(seq), block_bits)).withColumn(
         "_super", F.shiftright(F.col(seq), 2 * block_bits)
     )
     inside = Window.partitionBy(*keys, "_block").orderBy(seq, *([tie] if tie else []))
-    numbered = blocked.withColumn("_at", F.row_number().over(inside).cast("bigint") - 1)
+    before = F.sum(weight.cast("bigint")).over(inside.rowsBetween(*earlier))
+    numbered = blocked.withColumn("_at", F.coalesce(before, F.lit(0)))
 
-    side = settle(blocked.groupBy(*keys, "_super", "_block").agg(F.count(F.lit(1)).alias("_n")))
-    totals, earlier = side.df, (Window.unboundedPreceding, -1)
+    side = settle(
+        blocked.groupBy(*keys, "_super", "_block").agg(F.sum(weight.cast("bigint")).alias("_n"))
+    )
+    totals = side.df
     in_super = Window.partitionBy(*keys, "_super").orderBy("_block").rowsBetween(*earlier)
     blocks = totals.withColumn("_before", F.coalesce(F.sum("_n").over(in_super), F.lit(0)))
     supers = totals.groupBy(*keys, "_super").agg(F.sum("_n").alias("_n"))
@@ -45,16 +57,25 @@ def running_number(
     supers = supers.select(
         *keys, "_super", F.coalesce(F.sum("_n").over(in_key), F.lit(0)).alias("_super_before")
     )
-    offsets = blocks.join(supers, [*keys, "_super"]).select(
+    offsets = _on(blocks, supers, [*keys, "_super"]).select(
         *keys, "_block", (F.col("_before") + F.col("_super_before")).alias("_offset")
     )
     return (
-        numbered.join(_sized(offsets, side), [*keys, "_block"])
+        _on(numbered, _sized(offsets, side), [*keys, "_block"])
         .withColumn(name, F.col("_at") + F.col("_offset"))
         .drop("_block", "_super", "_at", "_offset")
     )
 
 
+def _on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join in which null keys meet; the keys of ``left`` stay."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    condition = F.lit(True)
+    for key in keys:
+        condition = condition & left[key].eqNullSafe(renamed[f"_r_{key}"])
+    return left.join(renamed, condition).drop(*[f"_r_{k}" for k in keys])
+
+
 def _sized(offsets: DataFrame, totals: Settled) -> DataFrame:
     """One row per block, as many as the totals: broadcast when those are few.
 
@@ -94,11 +115,11 @@ def next_marked(
     supers = totals.groupBy(*keys, "_super").agg(F.min("_first").alias("_first"))
     in_key = Window.partitionBy(*keys).orderBy(F.desc("_super")).rowsBetween(*earlier)
     supers = supers.select(*keys, "_super", F.min("_first").over(in_key).alias("_much_later"))
-    following = blocks.join(supers, [*keys, "_super"]).select(
+    following = _on(blocks, supers, [*keys, "_super"]).select(
         *keys, "_block", F.coalesce("_later", "_much_later").alias("_following")
     )
     return (
-        local.join(_sized(following, side), [*keys, "_block"])
+        _on(local, _sized(following, side), [*keys, "_block"])
         .withColumn(name, F.coalesce("_local", "_following"))
         .drop("_mark", "_block", "_super", "_local", "_following")
     )

@@ -32,12 +32,19 @@ from tracelake.model import (
 )
 from tracelake.operators import batching, catalog, conformance, filters, samples, signals
 from tracelake.operators import subscriptions as subs
+from tracelake.plans.joins import written
 from tracelake.plans.sample_log import read_events, sample_log
 from tracelake.sources import batches, wire
 from tracelake.session import new_folder
 from tracelake.sources.catalog_rows import signals_from_rows
-from tracelake.streaming.catalog_stream import read_catalog, start_catalog_stream
-from tracelake.streaming.routing_stream import delivered, start_routing
+from tracelake.streaming.catalog_stream import compact, read_catalog, start_catalog_stream
+from tracelake.streaming.routing_stream import (
+    delivered,
+    late_delivered,
+    start_late_subscriber,
+    start_routing,
+    start_subscriptions,
+)
 from tracelake.streaming.store import (
     start_ingest,
     start_store,
@@ -74,22 +81,28 @@ def segments_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def segments_fold_from(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The tail of the log only, where events alone make some segments."""
-    tail = sample_log(spark, sf_dir).where(F.col("seq") >= 10_000)
-    folded = catalog.fold(tail, mode="from")
+    """The fold in which any message makes a segment."""
+    folded = catalog.fold(sample_log(spark, sf_dir), mode="from")
     return folded.segments.select(
         "segment_id", "source", "start_time_ns", "end_time_ns", "first_seq"
     )
 
 
-def remove_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gone = (
+def _removals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
         read_events(spark, sf_dir)
         .where(F.col("k") % 3 == 0)
         .select("segment_id", F.lit(REMOVED_AT).cast("bigint").alias("seq"))
         .distinct()
     )
-    folded = catalog.fold(sample_log(spark, sf_dir), tombstones=gone)
+
+
+def remove_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removals = _removals(spark, sf_dir)
+    return _segments_with_schemas(catalog.fold(sample_log(spark, sf_dir), tombstones=removals))
+
+
+def _segments_with_schemas(folded: catalog.Catalog) -> DataFrame:
     schemas = folded.event_schemas.groupBy("segment_id").agg(F.count("*").alias("n_schemas"))
     return folded.segments.join(schemas, "segment_id", "left").select(
         "segment_id", "source", "start_time_ns", "end_time_ns",
@@ -293,11 +306,15 @@ COMMANDS = (
 )
 
 
+COMMANDS_DDL = "subscriber_id string, seq bigint, action string, filter string"
+
+
 def subscription_route(spark: SparkSession, sf_dir: str) -> DataFrame:
-    commands = spark.createDataFrame(
-        COMMANDS, "subscriber_id string, seq bigint, action string, filter string"
-    )
-    routed = subs.route_subscriptions(sample_log(spark, sf_dir), commands)
+    commands = spark.createDataFrame(COMMANDS, COMMANDS_DDL)
+    return _per_subscriber(subs.route_subscriptions(sample_log(spark, sf_dir), commands))
+
+
+def _per_subscriber(routed: DataFrame) -> DataFrame:
     return routed.groupBy("subscriber_id", "segment_id", "kind").agg(
         F.count("*").alias("copies"), F.sum("seq").alias("sum_seq")
     )
@@ -311,12 +328,19 @@ def replay_from(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def late_subscriber(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wanted = spark.createDataFrame(
+def _late_filters(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(
         [("late", None, None, "error")],
         "subscriber_id string, segment_id string, source_name string, event_name string",
     )
-    rows = subs.late_subscriber(sample_log(spark, sf_dir), LATE_AT, wanted)
+
+
+def late_subscriber(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wanted = _late_filters(spark)
+    return _late_columns(subs.late_subscriber(sample_log(spark, sf_dir), LATE_AT, wanted))
+
+
+def _late_columns(rows: DataFrame) -> DataFrame:
     return rows.select(
         _big("part").alias("part"), "seq", "segment_id", "source_name", "kind",
         _name_of_message().alias("name"), _time_of_message().alias("time_ns"),
@@ -501,6 +525,19 @@ def publish_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def undecodable_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status when every seventh batch cannot be decoded."""
+    raw = _wire_batches(spark, sf_dir).withColumn(
+        "decode_error", F.when(F.col("batch_no") % 7 == 3, F.lit("undecodable"))
+    )
+    status = batches.publish_status(batches.check_messages(batches.flatten_batches(raw)))
+    return status.select(
+        "stream_id",
+        *[_big(f"{c}_messages").alias(f"{c}_messages") for c in ("total", "successful", "failed")],
+        "last_error",
+    )
+
+
 def strict_publish_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batches.strict_publish_status(_checked_batches(spark, sf_dir))
 
@@ -747,6 +784,18 @@ def stream_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _signal_columns(read_catalog(spark, root))
 
 
+def stream_remove_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog after removals, kept by a stream, compacted, and read."""
+    root, smaller = new_folder(spark, "catalog"), new_folder(spark, "compacted")
+    removals = written(_removals(spark, sf_dir))
+    stream = start_catalog_stream(
+        _log_stream(spark, sf_dir), root, new_folder(spark, "catalog-offsets"), tombstones=removals
+    )
+    stream.awaitTermination()
+    compact(spark, root, smaller, 0, removals)
+    return _segments_with_schemas(read_catalog(spark, smaller, removals))
+
+
 def stream_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_folder(spark, "store")
     stream = start_store(_log_stream(spark, sf_dir), root, new_folder(spark, "store-offsets"))
@@ -775,6 +824,36 @@ def stream_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changing subscriptions on a stream; the commands lie in several files."""
+    root, folder = new_folder(spark, "routed"), new_folder(spark, "commands")
+    commands = spark.createDataFrame(COMMANDS, COMMANDS_DDL)
+    commands.repartitionByRange(3, "seq").write.parquet(folder)
+    stream = start_subscriptions(
+        _log_stream(spark, sf_dir),
+        lambda: spark.read.schema(COMMANDS_DDL).parquet(folder),
+        root,
+        new_folder(spark, "routed-offsets"),
+    )
+    stream.awaitTermination()
+    return _per_subscriber(delivered(spark, root))
+
+
+def stream_late_subscriber(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshot, then live messages of a stream that also delivers older ones."""
+    root = new_folder(spark, "late")
+    stream = start_late_subscriber(
+        _log_stream(spark, sf_dir),
+        sample_log(spark, sf_dir),
+        LATE_AT,
+        _late_filters(spark),
+        root,
+        new_folder(spark, "late-offsets"),
+    )
+    stream.awaitTermination()
+    return _late_columns(late_delivered(spark, root))
+
+
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status per stream after ingesting the wire batches from files."""
     path, root = new_folder(spark, "wire-batches"), new_folder(spark, "lake")
@@ -818,6 +897,7 @@ QUERIES = {
     "wire_validity": wire_validity,
     "ingest_batches": ingest_batches,
     "publish_status": publish_status,
+    "undecodable_status": undecodable_status,
     "strict_publish_status": strict_publish_status,
     "publish_batches": publish_batches,
     "subscriber_responses": subscriber_responses,
@@ -833,7 +913,10 @@ QUERIES = {
     "catalog_types": catalog_types,
     "time_columns": time_columns,
     "stream_catalog": stream_catalog,
+    "stream_remove_segment": stream_remove_segment,
     "stream_store": stream_store,
     "stream_route": stream_route,
+    "stream_subscriptions": stream_subscriptions,
+    "stream_late_subscriber": stream_late_subscriber,
     "stream_ingest": stream_ingest,
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -33,13 +34,16 @@ def build_session(app_name: str = "tracelake", master: str | None = None, **conf
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder, from ``spark.checkpoint.dir``.
 
-    Where the session names none (local tests) a fresh temporary folder is
-    taken, once per session.
+    Where a local session names none (tests) a fresh temporary folder is taken,
+    once per session. On a cluster it has to be set: a local folder there is
+    another one on every machine.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
     context = spark.sparkContext
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tracelake-"))
     return context.getCheckpointDir()

@@ -17,9 +17,7 @@ from tracelake.model import (
     TYPE_BY_NAME,
 )
 from tracelake.plans.joins import lookup_join, settle
-
-# Position bits inside one batch; 2**20 messages are far beyond a batch.
-POSITION_BITS = 20
+from tracelake.plans.ordered import running_number
 
 INVALID_UUID = "invalid_uuid"
 MISSING_MESSAGE = "missing_message"
@@ -38,26 +36,42 @@ def stream_batches(
     return spark.readStream.format(file_format).schema(BATCH_DDL).options(**options).load(path)
 
 
-def flatten_batches(batches: DataFrame) -> DataFrame:
+def flatten_batches(batches: DataFrame, first_seq: int = 0) -> DataFrame:
     """One row per message of each batch, in order.
 
-    ``batch_no`` is the arrival number of a batch over all streams. ``seq`` is
-    (batch_no, position), hence unique and independent of the file layout. A
-    batch too long for the position bits fails loudly.
+    ``batch_no`` is the arrival number of a batch over all streams. ``seq``
+    numbers messages on from ``first_seq`` by (batch_no, stream_id, position): a
+    batch begins where the sizes of all earlier ones end, so batches and numbers
+    of any size fit. A batch that could not be decoded (``decode_error``) is one
+    message without content, so that it is quarantined and counted.
     """
-    checked = batches.withColumn(
+    if "decode_error" not in batches.columns:
+        batches = batches.withColumn("decode_error", F.lit(None).cast("string"))
+    messages = batches.schema["trace_messages"].dataType
+    nothing = F.array(F.lit(None).cast(messages.elementType))
+    held = batches.withColumn(
         "trace_messages",
-        F.when(
-            F.size("trace_messages") > (1 << POSITION_BITS),
-            F.raise_error(F.lit("batch longer than the position bits of seq")),
-        ).otherwise(F.col("trace_messages")),
+        F.when(F.col("decode_error").isNotNull(), nothing).otherwise(F.col("trace_messages")),
+    )
+    # batches are numbered by narrow rows; messages do not travel for it
+    sizes = held.select(
+        "stream_id", "batch_no",
+        F.greatest(F.size("trace_messages"), F.lit(0)).cast("bigint").alias("_size"),
+    ).groupBy("stream_id", "batch_no").agg(F.sum("_size").alias("_size"))
+    begins = running_number(
+        sizes, [], "_begin", seq="batch_no", tie="stream_id", weight=F.col("_size")
+    ).select(F.coalesce("stream_id", F.lit("")).alias("_stream"), "batch_no", "_begin")
+    numbered = lookup_join(
+        held.withColumn("_stream", F.coalesce("stream_id", F.lit(""))),
+        begins, ["_stream", "batch_no"], spread_by="batch_no",
     )
     return (
-        checked.select(
-            "stream_id", "batch_no", F.posexplode("trace_messages").alias("pos", "message")
+        numbered.select(
+            "stream_id", "batch_no", "decode_error", "_begin",
+            F.posexplode("trace_messages").alias("pos", "message"),
         )
-        .withColumn("seq", F.shiftleft(F.col("batch_no"), POSITION_BITS) + F.col("pos"))
-        .select("seq", "stream_id", "batch_no", "pos", "message.*")
+        .withColumn("seq", F.col("_begin") + F.col("pos") + F.lit(first_seq))
+        .select("seq", "stream_id", "batch_no", "pos", "decode_error", "message.*")
     )
 
 
@@ -109,7 +123,9 @@ def message_error(row_kind: Column | None = None) -> Column:
 
 def check_messages(flat: DataFrame) -> DataFrame:
     """Flattened wire messages with their ``error`` code."""
-    return flat.withColumn("error", message_error())
+    if "decode_error" not in flat.columns:
+        return flat.withColumn("error", message_error())
+    return flat.withColumn("error", F.coalesce("decode_error", message_error())).drop("decode_error")
 
 
 def accepted(checked: DataFrame, *, strict: bool = False) -> DataFrame:
@@ -164,23 +180,22 @@ def quarantined(checked: DataFrame) -> DataFrame:
 
 
 def publish_status(checked: DataFrame) -> DataFrame:
-    """Counts per stream and the last error (S6), bad messages quarantined.
+    """Counts per stream and the last error by arrival (S6), bad messages quarantined.
 
     Counting per (stream, error) first keeps the pass over all messages a hash
     aggregate on numbers.
     """
+    at = F.struct("batch_no", "seq")
     per_error = checked.groupBy("stream_id", "error").agg(
-        F.count(F.lit(1)).alias("n"), F.max("seq").alias("last_seq")
+        F.count(F.lit(1)).alias("n"), F.max(at).alias("last_at")
     )
     bad = F.col("error").isNotNull()
     return per_error.groupBy("stream_id").agg(
         F.sum("n").alias("total_messages"),
         F.sum(F.when(bad, F.lit(0)).otherwise(F.col("n"))).alias("successful_messages"),
         F.sum(F.when(bad, F.col("n")).otherwise(F.lit(0))).alias("failed_messages"),
-        F.coalesce(F.max_by("error", F.when(bad, F.col("last_seq"))), F.lit("")).alias(
-            "last_error"
-        ),
-        F.max(F.when(bad, F.col("last_seq"))).alias("last_error_seq"),
+        F.coalesce(F.max_by("error", F.when(bad, F.col("last_at"))), F.lit("")).alias("last_error"),
+        F.max(F.when(bad, F.col("last_at"))).alias("last_error_at"),
     )
 
 

@@ -2,8 +2,9 @@
 
 Each micro-batch writes only its own partial fold, under its batch id, so the
 cost of a batch does not grow with the catalog and a repeated batch overwrites
-itself. Reading merges the partial folds; :func:`compact` merges them for good.
-No Python state and nothing on the driver.
+itself until it is committed. Reading merges the partial folds of committed
+batches; :func:`compact` merges them for good. Of the state only the numbers of
+the batches come to the driver.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from tracelake.operators.catalog import (
     merge_rows,
     state_to_catalog,
 )
+from tracelake.streaming.commits import commit, committed, read_committed
 
 VALUE_STATE_DDL = (
     "segment_id STRING, event_name STRING, field_name STRING, tag STRING, key STRING, "
@@ -55,18 +57,24 @@ def update_catalog(
     ``tombstones`` (segment_id, seq) has to list a removal before the messages
     that follow it are processed, as in the log itself.
     """
+    spark = batch.sparkSession
+    if batch_id in committed(spark, root):
+        return
     if tombstones is not None:
         batch = drop_removed(batch, tombstones)
-    _write(fold_state(batch, mode), root, batch_id)
+    # the three tables of the fold read the batch once
+    batch = batch.persist()
+    try:
+        _write(fold_state(batch, mode), root, batch_id)
+    finally:
+        batch.unpersist()
+    commit(spark, root, batch_id)
 
 
 def read_state(
     spark: SparkSession, root: str, tombstones: DataFrame | None = None
 ) -> FoldState:
-    parts = {
-        name: spark.read.schema(ddl).option("basePath", f"{root}/{name}").parquet(f"{root}/{name}")
-        for name, ddl in _TABLES.items()
-    }
+    parts = {name: read_committed(spark, root, name, ddl) for name, ddl in _TABLES.items()}
     if tombstones is not None:
         # A removal forgets partial folds of batches before it. The messages of
         # its own batch that came before it were left out on writing.
@@ -90,9 +98,20 @@ def read_catalog(
     return state_to_catalog(read_state(spark, root, tombstones))
 
 
-def compact(spark: SparkSession, root: str, new_root: str, batch_id: int) -> None:
-    """Merge all partial folds of ``root`` into one, stored in a new folder."""
-    _write(read_state(spark, root), new_root, batch_id)
+def compact(
+    spark: SparkSession,
+    root: str,
+    new_root: str,
+    batch_id: int,
+    tombstones: DataFrame | None = None,
+) -> None:
+    """Merge all partial folds of ``root`` into one, stored in a new folder.
+
+    Removals have to be given here as on reading: once merged, what came before a
+    removal can't be told from what came after.
+    """
+    _write(read_state(spark, root, tombstones), new_root, batch_id)
+    commit(spark, new_root, batch_id)
 
 
 def start_catalog_stream(

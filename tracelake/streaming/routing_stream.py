@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tracelake.model import LOG_COLUMNS
 from tracelake.operators.batching import SUBSCRIBE_BATCH, responses
-from tracelake.operators.filters import route
+from tracelake.operators.catalog import fold, snapshot
+from tracelake.operators.filters import route, settle_filters
 from tracelake.operators.subscriptions import route_subscriptions
 
 
@@ -17,18 +22,69 @@ def start_routing(
     trigger: dict | None = None,
 ):
     """Write every message once per matching filter, by ``subscriber_id``."""
-    return _start(lambda batch: route(batch, filters), log, root, checkpoint, trigger)
+    settled = settle_filters(filters)
+    return _start(lambda batch: route(batch, settled), log, root, checkpoint, trigger)
+
+
+def start_late_subscriber(
+    log: DataFrame,
+    past: DataFrame,
+    at_seq: int,
+    filters: DataFrame,
+    root: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+):
+    """A subscriber that joins a stream after message ``at_seq``.
+
+    The catalog of ``past`` up to ``at_seq`` is written first (``part`` 0), then
+    what matches of the later messages of the stream (``part`` 1): no gap and no
+    overlap at the boundary, whatever of the past the stream still delivers.
+    """
+    snapshot(fold(past.where(F.col("seq") <= at_seq))).write.mode("overwrite").parquet(
+        f"{root}/part=0"
+    )
+    settled = settle_filters(filters)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        live = route(batch.where(F.col("seq") > at_seq), settled).select(*LOG_COLUMNS)
+        live.write.mode("overwrite").parquet(f"{root}/part=1/batch_id={batch_id}")
+
+    return (
+        log.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
+def late_delivered(spark: SparkSession, root: str) -> DataFrame:
+    """Snapshot and live messages of a late subscriber, by ``part``."""
+    first = spark.read.parquet(f"{root}/part=0").withColumn("part", F.lit(0))
+    live = spark.read.option("basePath", f"{root}/part=1").parquet(f"{root}/part=1/*")
+    return first.unionByName(
+        live.select(*LOG_COLUMNS).withColumn("part", F.lit(1)), allowMissingColumns=True
+    )
 
 
 def start_subscriptions(
     log: DataFrame,
-    commands: DataFrame,
+    commands: DataFrame | Callable[[], DataFrame],
     root: str,
     checkpoint: str,
     trigger: dict | None = None,
 ):
-    """As above, with filters that change by commands."""
-    return _start(lambda batch: route_subscriptions(batch, commands), log, root, checkpoint, trigger)
+    """As above, with filters that change by commands.
+
+    Commands that may still come are given as a function that reads them; it is
+    called anew for every micro-batch. A command has to be there before the
+    messages that follow it are processed.
+    """
+
+    def now() -> DataFrame:
+        return commands() if callable(commands) else commands
+
+    return _start(lambda batch: route_subscriptions(batch, now()), log, root, checkpoint, trigger)
 
 
 def start_responses(
@@ -41,15 +97,19 @@ def start_responses(
 ):
     """Write responses of bounded size per subscriber; a micro-batch flushes."""
 
+    settled = settle_filters(filters)
+
     def packed(batch: DataFrame) -> DataFrame:
-        return responses(route(batch, filters), batch_size)
+        return responses(route(batch, settled), batch_size)
 
     return _start(packed, log, root, checkpoint, trigger)
 
 
 def _start(transform, log: DataFrame, root: str, checkpoint: str, trigger: dict | None):
     def write(batch: DataFrame, batch_id: int) -> None:
-        transform(batch).write.mode("overwrite").partitionBy("subscriber_id").parquet(
+        # few files for each subscriber, and a subscriber to everything in several tasks
+        out = transform(batch).hint("rebalance", "subscriber_id")
+        out.write.mode("overwrite").partitionBy("subscriber_id").parquet(
             f"{root}/batch_id={batch_id}"
         )
 

@@ -3,41 +3,77 @@ ingest of raw batches with quarantine and status (S1, V5, S6)."""
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracelake.model import LOG_DDL
 from tracelake.operators.catalog import Catalog
 from tracelake.sources.batches import accepted, check_messages, flatten_batches, publish_status
+from tracelake.streaming import commits
 from tracelake.streaming.catalog_stream import read_catalog, update_catalog
 
+STATUS_DDL = (
+    "stream_id STRING, total_messages BIGINT, successful_messages BIGINT, "
+    "failed_messages BIGINT, last_error STRING, last_error_at STRUCT<batch_no: BIGINT, seq: BIGINT>"
+)
+
 
-def store_batch(log: DataFrame, batch_id: int, root: str) -> None:
+def store_batch(
+    log: DataFrame,
+    batch_id: int,
+    root: str,
+    *,
+    tombstones: DataFrame | None = None,
+    next_seq: int | None = None,
+) -> None:
     """Write one micro-batch: messages by kind, then the partial catalog.
 
-    Both overwrite what an earlier attempt of the same batch left.
+    The batch is committed last; readers do not see it before, and a repetition
+    of a committed batch changes nothing. ``tombstones`` as in
+    :func:`tracelake.streaming.catalog_stream.update_catalog`.
     """
+    spark = log.sparkSession
+    if batch_id in commits.committed(spark, root):
+        return
     path = f"{root}/log/batch_id={batch_id}"
     log.write.mode("overwrite").partitionBy("kind").parquet(path)
-    stored = log.sparkSession.read.schema(LOG_DDL).parquet(path)
-    update_catalog(stored, batch_id, f"{root}/catalog")
+    stored = spark.read.schema(LOG_DDL).parquet(path)
+    update_catalog(stored, batch_id, f"{root}/catalog", tombstones=tombstones)
+    commits.commit(spark, root, batch_id, next_seq)
 
 
 def ingest_batch(raw: DataFrame, batch_id: int, root: str) -> None:
-    """Write one micro-batch of wire batches: good messages, bad ones, status."""
-    checked = check_messages(flatten_batches(raw)).persist()
+    """Write one micro-batch of wire batches: good messages, bad ones, status.
+
+    Sequence numbers go on from those of the batches committed before.
+    """
+    spark = raw.sparkSession
+    if batch_id in commits.committed(spark, root):
+        return
+    first = commits.next_seq(spark, root)
+    checked = check_messages(flatten_batches(raw, first)).persist()
     try:
         bad = checked.where(F.col("error").isNotNull())
         bad.write.mode("overwrite").parquet(f"{root}/quarantine/batch_id={batch_id}")
         status = publish_status(checked)
         status.write.mode("overwrite").parquet(f"{root}/status/batch_id={batch_id}")
-        store_batch(accepted(checked), batch_id, root)
+        after = first + checked.count()
+        store_batch(accepted(checked), batch_id, root, next_seq=after)
     finally:
         checked.unpersist()
 
 
-def start_store(log: DataFrame, root: str, checkpoint: str, trigger: dict | None = None):
-    return _start(log, store_batch, root, checkpoint, trigger)
+def start_store(
+    log: DataFrame,
+    root: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    tombstones: DataFrame | None = None,
+):
+    body = functools.partial(store_batch, tombstones=tombstones)
+    return _start(log, body, root, checkpoint, trigger)
 
 
 def start_ingest(raw: DataFrame, root: str, checkpoint: str, trigger: dict | None = None):
@@ -55,16 +91,24 @@ def _start(stream: DataFrame, body, root: str, checkpoint: str, trigger: dict |
 
 def stored_log(spark: SparkSession, root: str) -> DataFrame:
     """The stored log; a filter on ``kind`` reads only those partitions."""
-    return spark.read.schema(LOG_DDL).option("basePath", f"{root}/log").parquet(f"{root}/log")
+    return commits.read_committed(spark, root, "log", LOG_DDL)
+
+
+def stored_catalog(
+    spark: SparkSession, root: str, tombstones: DataFrame | None = None
+) -> Catalog:
+    return read_catalog(spark, f"{root}/catalog", tombstones)
 
 
-def stored_catalog(spark: SparkSession, root: str) -> Catalog:
-    return read_catalog(spark, f"{root}/catalog")
+def quarantine(spark: SparkSession, root: str) -> DataFrame:
+    """The rejected messages of all committed batches."""
+    paths = [f"{root}/quarantine/batch_id={n}" for n in commits.committed(spark, root)]
+    return spark.read.option("basePath", f"{root}/quarantine").parquet(*paths)
 
 
 def stored_status(spark: SparkSession, root: str) -> DataFrame:
     """Status per stream over all batches; the error of the latest batch stays."""
-    parts = spark.read.option("basePath", f"{root}/status").parquet(f"{root}/status")
+    parts = commits.read_committed(spark, root, "status", STATUS_DDL)
     failed = F.col("failed_messages") > 0
     return parts.groupBy("stream_id").agg(
         *[
@@ -72,6 +116,6 @@ def stored_status(spark: SparkSession, root: str) -> DataFrame:
             for c in ("total_messages", "successful_messages", "failed_messages")
         ],
         F.coalesce(
-            F.max_by("last_error", F.when(failed, F.col("last_error_seq"))), F.lit("")
+            F.max_by("last_error", F.when(failed, F.col("last_error_at"))), F.lit("")
         ).alias("last_error"),
     )
