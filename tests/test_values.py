@@ -96,6 +96,13 @@ def values_table(spark, cases):
     return spark.createDataFrame(rows, f"n int, v {VALUE_DDL}")
 
 
+def test_minus_zero_is_a_float(spark):
+    read = lambda t: one(spark, J.typed_from_json(F.lit("number"), F.lit("-0"), F.lit(t)))
+    assert read("int8").error == read("uint64").error == "number_out_of_range"
+    assert str(read("float64").value.f) == "-0.0"
+    assert one(spark, J.typed_from_json(F.lit("number"), F.lit("-01"), F.lit("int8"))).error is None
+
+
 def test_json_text(spark):
     v = F.col("v")
     df = values_table(spark, JSON_TEXTS).select("n", J.json_text(v), J.not_json(v))

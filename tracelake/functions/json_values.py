@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from tracelake.functions.values import base64_text, bytes_from_base64, value_struct
 from tracelake.model import VALUE_TYPES
 
-_INTEGER_LEXEME = r"\A-?[0-9]+\z"
+# ``-0`` is a float: no integer type holds its sign.
+_INTEGER_LEXEME = r"\A(?!-0\z)-?[0-9]+\z"
 
 
 def json_kind(variant: Column) -> Column:
