@@ -9,7 +9,7 @@ import pytest
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from tests.llm.messy import DDL, TEXTS, empty, messy
+from tests.llm.messy import TEXTS, empty, messy
 from tracelake.llm import mixing
 from tracelake.llm.queries import LLM_ORACLE, LLM_QUERIES
 
@@ -119,7 +119,3 @@ def test_pipeline_stages_on_messy_and_empty_documents(spark):
             out = stage(spark, docs, DATA)
             out.write.format("noop").mode("overwrite").save()
             assert stage is corpus_pipeline.STAGES[-1][1] or out.columns == docs.columns
-
-
-def test_ddl_is_used():
-    assert DDL.startswith("doc_id")
