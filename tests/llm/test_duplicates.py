@@ -214,6 +214,30 @@ def test_passages_of_messy_rows(spark):
     assert [(r.doc_id, r.source_id, r.n_words) for r in found] == [(7, 6, 3000)]
 
 
+@pytest.mark.parametrize("held", [40, 49])
+def test_a_first_text_that_holds_too_little_hides_no_passage(spark, held):
+    shared = [long_text(500 + k, 50) for k in range(6)]
+    rows = []
+    for k, passage in enumerate(shared):
+        part = " ".join(passage.split()[:held])
+        rows += [
+            (10 * k + 1, f"{long_text(600 + k, 30)} {part} {long_text(700 + k, 40)}"),
+            (10 * k + 2, f"{long_text(800 + k, 20)} {passage} {long_text(900 + k, 30)}"),
+            (10 * k + 3, f"{long_text(1000 + k, 35)} {passage} {long_text(1100 + k, 25)}"),
+        ]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = sorted(
+        (r.doc_id, r.source_id, r.start_word, r.n_words) for r in passages.repeated_passages(df).collect()
+    )
+    brute = []
+    for b, two in rows:
+        for a, one in rows:
+            if a < b:
+                one_tokens, two_tokens = (passages.tokens(x.encode()) for x in (one, two))
+                brute += [(b, a, j, m) for _, _, j, m, _ in passages.exact_passages(one_tokens, two_tokens)]
+    assert len(brute) == 6 and found == sorted(brute)
+
+
 def test_near_passage_by_similarity():
     one = long_text(31, 300).split()
     two = list(one)
