@@ -248,6 +248,58 @@ def test_near_passage_by_similarity():
     assert a == 0 and n >= 270 and m >= 270 and 0.8 <= similarity < 1
 
 
+def brute_similar(one, two):
+    """Whether places are held by any pair of stretches on one diagonal that is similar enough."""
+    held = set()
+    for shift in range(-len(one), len(two)):
+        low, high = max(0, -shift), min(len(one), len(two) - shift)
+        if (one[low:high] == two[low + shift : high + shift]).sum() < passages.LENGTH // 2:
+            continue
+        for a in range(low, high):
+            for b in range(a + passages.LENGTH, high + 1):
+                left, right = set(one[a:b].tolist()), set(two[a + shift : b + shift].tolist())
+                if len(left & right) >= passages.SIMILARITY * len(left | right):
+                    held.update(range(a, b))
+    return held
+
+
+def edited(words, places):
+    return [f"edit{k}" if k in places else w for k, w in enumerate(words)]
+
+
+@pytest.mark.parametrize("parts", [
+    [(70, ()), (60, (30,))],
+    [(60, (30,)), (60, (29,))],
+    [(60, (31,)), (70, (20,))],
+    [(20, (3, 6, 9, 12, 15)), (60, (28,)), (20, (3, 6, 9, 12, 15))],
+])
+@pytest.mark.parametrize("swapped", [False, True])
+def test_several_passages_in_one_hull(parts, swapped):
+    own = [long_text(300 + k, n).split() for k, (n, _) in enumerate(parts)]
+    changed = [edited(w, places) for w, (_, places) in zip(own, parts)]
+    gap = [long_text(320 + k, 25).split() for k in range(2 * len(parts))]
+    if swapped:
+        changed.reverse()
+    one = [w for k, part in enumerate(own) for w in part + gap[k]]
+    two = [w for k, part in enumerate(changed) for w in part + gap[len(own) + k]]
+    left, right = (passages.tokens(" ".join(w).encode()) for w in (one, two))
+    found = passages.shared_passages(left, right)
+    assert len(found) == sum(n >= 50 for n, _ in parts)
+    got = {x for a, n, *_ in found for x in range(a, a + n - passages.TOKEN_WORDS + 1)}
+    # every place that brute force finds, but for what sticks out over the last equal tokens
+    want = brute_similar(left, right) & set(np.flatnonzero(np.isin(left, right)).tolist())
+    assert want - got == set()
+
+
+def test_a_token_far_away_hides_no_near_passage():
+    part = long_text(340, 60).split()
+    one = part + long_text(341, 20).split()
+    two = edited(part, (30,)) + long_text(342, 80).split() + part[10:16]
+    left, right = (passages.tokens(" ".join(w).encode()) for w in (one, two))
+    (a, n, c, m, similarity), = passages.shared_passages(left, right)
+    assert (a, n, c, m) == (0, 60, 0, 60) and similarity >= 0.8
+
+
 def test_representatives_keep_the_smallest_id(spark):
     base = long_text(5, 800)
     rows = [(9, base), (4, base), (6, base + " tail"), (7, "apart from the others"), (None, base)]
