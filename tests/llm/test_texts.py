@@ -261,6 +261,24 @@ def test_languages_on_held_out_texts(spark):
     assert {r.lang_pred for r in unlabelled.collect()} == {"und"}
 
 
+def test_a_small_language_stays_in_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(languages, "ROWS_PER_LANGUAGE", 100)
+    monkeypatch.setattr(languages, "MAX_ROWS", 1000)
+    docs = spark.range(11 * 1500 + 60).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") < 11 * 1500, F.concat(F.lit("big"), F.col("id") % 11)).otherwise("small").alias("lang"),
+        F.lit("a few words of text").alias("text"),
+    )
+    kept = {
+        r["lang"]: r["n"]
+        for r in languages.sample(docs).groupBy("lang").agg(F.countDistinct("id").alias("n")).collect()
+    }
+    labelled = docs.where("lang = 'small' AND crc32(cast(doc_id as string)) % 5 <> 0").count()
+    assert len(kept) == 12 and kept["small"] == labelled
+    assert all(50 < n < 130 for lang, n in kept.items() if lang != "small")
+    assert sum(kept.values()) <= 1100
+
+
 def test_ngrams_do_not_span_texts_or_words():
     alone = [languages.ngram_buckets([t])[0] for t in ("ab cd", "é", "", "1 2")]
     together, owners, letters = languages.ngram_buckets(["ab cd", "é", "", "1 2"])

@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 
 from tracelake.llm.common import (
     below,
-    bounded_sample,
     id_remainder,
     ship,
     steps,
@@ -38,11 +37,11 @@ from tracelake.llm.common import (
     text_of,
     with_result,
 )
-from tracelake.plans.joins import lookup_join
+from tracelake.plans.joins import lookup_join, settle
 
 UNKNOWN = "und"
 # The sample that the model is fitted on, in rows: about so many of each language,
-# and so many in all at most.
+# and fewer of each where that would be more than about so many in all.
 ROWS_PER_LANGUAGE = 1000
 MAX_ROWS = 10_000
 PIECE_WORDS = (3, 6, 15, 40)
@@ -152,18 +151,17 @@ def sample(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("string").alias("_id"), F.col("lang").alias("_lang"),
         id_remainder("doc_id", 5).alias("_part"), F.col("text").alias("_text"),
     ).where("_part != 0 AND _lang IS NOT NULL AND _id IS NOT NULL")
-    # about the bound of each language by the hash alone, so no task meets a language
+    # about the bound of each language by the hash alone, so no task meets a language;
+    # the bound of all is dealt out to the languages, so nothing is cut afterwards
     names = rows.select("_id", "_lang", order.alias("_order"))
-    shares = names.groupBy("_lang").agg((ROWS_PER_LANGUAGE / F.count("*")).alias("_share"))
-    picked = bounded_sample(
-        stored(
-            lookup_join(names, shares, ["_lang"], spread_by="_id")
-            .where(below(F.col("_order"), F.col("_share")))
-            .select("_id", "_order").distinct(),
-            "language-sample",
-        ),
-        F.col("_order"), MAX_ROWS,
-    ).select("_id")
+    counts = settle(names.groupBy("_lang").agg(F.count("*").alias("_rows")))
+    each = min(ROWS_PER_LANGUAGE, MAX_ROWS / max(counts.df.count(), 1))
+    picked = stored(
+        lookup_join(names, counts, ["_lang"], spread_by="_id")
+        .where(below(F.col("_order"), F.lit(float(each)) / F.col("_rows")))
+        .select("_id").distinct(),
+        "language-sample",
+    )
 
     def to_bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,7 +181,7 @@ def sample(docs: DataFrame) -> DataFrame:
                     names=["id", "lang", "held", "piece", "buckets", "counts"],
                 )
 
-    # at most MAX_ROWS ids, so the broadcast is bounded
+    # about MAX_ROWS ids at most, so the broadcast is bounded
     return rows.join(F.broadcast(picked), "_id").select("_id", "_lang", "_text").mapInArrow(
         to_bags,
         "id string, lang string, held boolean, piece int, buckets array<int>, counts array<float>",
@@ -203,7 +201,7 @@ def pieces(name: str, text: str) -> list[str]:
 
 
 def fit(docs: DataFrame) -> LanguageModel:
-    """Train on at most ``MAX_ROWS`` rows (ids may repeat) of ``docs``."""
+    """Train on about ``MAX_ROWS`` rows at most (ids may repeat) of ``docs``."""
     rows = sample(docs).toArrow().sort_by([(c, "ascending") for c in ("id", "lang", "piece")])
     rows = rows.filter(pc.greater(pc.list_value_length(rows.column("buckets")), 0)).combine_chunks()
     lang = rows.column("lang").to_pylist()
