@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tracelake.llm import (
     content_sort,
+    fill_middle,
     golay,
     html_text,
     languages,
@@ -82,6 +83,16 @@ def op5_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op12_swar_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    formed = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return formed.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        digest(F.col("output")).alias("output_sha256"),
+        digest(fill_middle.restored(F.col("output"), F.col("form"))).alias("restored_sha256"),
+    )
+
+
 LLM_QUERIES = {
     "op5_compact_windows": op5_compact_windows,
     "op3_boosted_quality": op3_boosted_quality,
@@ -93,6 +104,7 @@ LLM_QUERIES = {
     "op9_golay_simhash": op9_golay_simhash,
     "op4_whole_tokens": op4_whole_tokens,
     "op10_license_rules": op10_license_rules,
+    "op12_swar_fim": op12_swar_fim,
 }
 
 LLM_ORACLE = {
@@ -148,4 +160,36 @@ LLM_ORACLE = {
         SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(norm) AS text_sha256
         FROM ranked
     """,
+    "op12_swar_fim": r"""
+        WITH cut AS (
+            SELECT doc_id, coalesce(text, '') AS t,
+                regexp_extract_all(coalesce(text, ''),
+                    '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+                sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hex
+            FROM documents
+        ), hashed AS (
+            SELECT *, len(u) AS n,
+                CAST('0x' || substr(hex, 1, 8) AS BIGINT) AS h1,
+                CAST('0x' || substr(hex, 9, 8) AS BIGINT) AS h2,
+                CAST('0x' || substr(hex, 17, 8) AS BIGINT) AS h3,
+                CAST('0x' || substr(hex, 25, 8) AS BIGINT) AS h4
+            FROM cut
+        ), placed AS (
+            SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                    OR h3 % 100 >= 50 THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+            FROM hashed
+        ), parts AS (
+            SELECT doc_id, t, n, form, array_to_string(u[1:a], '') AS p,
+                array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:n], '') AS s
+            FROM placed
+        )
+        SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+            CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+            CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+            sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+            sha256(t) AS restored_sha256
+        FROM parts
+    """,
 }
