@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tracelake.llm import (
     content_sort,
+    conversations,
     fill_middle,
     golay,
     html_text,
@@ -20,6 +21,7 @@ from tracelake.llm import (
     token_counts,
 )
 from tracelake.llm.common import id_remainder, table
+from tracelake.llm.conversation_sql import REPAIR_SQL
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,6 +95,13 @@ def op12_swar_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_suffix_dawg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversations.damaged(table(spark, sf_dir, "conversations"))
+    return conversations.audits_with_digests(rows).select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"
+    )
+
+
 LLM_QUERIES = {
     "op5_compact_windows": op5_compact_windows,
     "op3_boosted_quality": op3_boosted_quality,
@@ -105,6 +114,7 @@ LLM_QUERIES = {
     "op4_whole_tokens": op4_whole_tokens,
     "op10_license_rules": op10_license_rules,
     "op12_swar_fim": op12_swar_fim,
+    "op13_suffix_dawg": op13_suffix_dawg,
 }
 
 LLM_ORACLE = {
@@ -192,4 +202,5 @@ LLM_ORACLE = {
             sha256(t) AS restored_sha256
         FROM parts
     """,
+    "op13_suffix_dawg": REPAIR_SQL,
 }
