@@ -15,6 +15,7 @@ from tracelake.llm import (
     languages,
     licenses,
     mixing,
+    packing,
     passages,
     quality,
     tiling,
@@ -85,6 +86,16 @@ def op5_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op11_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    )
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset",
+    )
+
+
 def op12_swar_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     formed = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"))
     digest = lambda c: F.sha2(c.cast("binary"), 256)
@@ -113,6 +124,7 @@ LLM_QUERIES = {
     "op9_golay_simhash": op9_golay_simhash,
     "op4_whole_tokens": op4_whole_tokens,
     "op10_license_rules": op10_license_rules,
+    "op11_retrieval_packing": op11_retrieval_packing,
     "op12_swar_fim": op12_swar_fim,
     "op13_suffix_dawg": op13_suffix_dawg,
 }
