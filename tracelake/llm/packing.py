@@ -28,18 +28,19 @@ table gives no pieces.
 
 from __future__ import annotations
 
+import itertools
 import re
-import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import ship, text_of
+from tracelake.llm.common import ship, steps, text_of
 from tracelake.llm.token_counts import BYTE_OF, BYTES, IS_LATIN, PRETOKENS, WORD_END
 from tracelake.session import new_folder
 
@@ -48,10 +49,12 @@ END_ID = 1
 # The usual parameters of BM25.
 K1, B = 1.2, 0.75
 # Tokens of one shard of the index, and of one task at most.
-SHARD_TOKENS = 2 << 20
+SHARD_TOKENS = 1 << 20
 TASK_TOKENS = 64 << 20
+# Characters of text that are encoded together.
+STEP_CHARS = 8 << 20
 # Words of a generation whose ids a worker remembers.
-REMEMBERED = 250_000
+REMEMBERED = 400_000
 
 WHOLE, REST, TERM = 0, 1, 2
 # Counts that travel with the document frequencies, under terms of their own.
@@ -104,8 +107,9 @@ class _Remembered(dict):
 class Encoder:
     """The ids of texts, as the library gives them without begin and end.
 
-    For a vocabulary of words with a mark at their end, in lower case, words of a
-    Latin text are encoded apart from each other and remembered.
+    For a vocabulary of words with a mark at their end, in lower case, the words of
+    Latin texts are cut by Arrow and looked up once for each step of texts; ids
+    are put together by their word's number.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -115,19 +119,15 @@ class Encoder:
         model = self._tokenizer.model
         self.size = 1 + max(self._tokenizer.get_vocab(with_added_tokens=True).values())
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        code = "H" if self.dtype.itemsize == 2 else "I"
-
-        def merged(piece: str) -> bytes:
-            # printable ASCII stands for itself
-            shown = piece if piece.isascii() else "".join(BYTES[b] for b in piece.encode())
-            tokens = model.tokenize(shown)
-            return struct.pack(f"<{len(tokens)}{code}", *[t.id for t in tokens])
-
-        pieces = _Remembered(merged)
+        as_bytes = [k.to_bytes(self.dtype.itemsize, "little") for k in range(self.size)]
 
         def of_word(word: str) -> bytes:
-            found = PRETOKENS(word)
-            return pieces[found[0]] if len(found) == 1 else b"".join(map(pieces.__getitem__, found))
+            found = [word] if word.isalpha() else PRETOKENS(word)
+            if len(found) != 1:
+                return b"".join(map(self._words.__getitem__, found))
+            # printable ASCII stands for itself
+            shown = word if word.isascii() else "".join(BYTES[b] for b in word.encode())
+            return b"".join([as_bytes[t.id] for t in model.tokenize(shown)])
 
         self._words = _Remembered(of_word)
         special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
@@ -136,13 +136,38 @@ class Encoder:
             getattr(model, "end_of_word_suffix", None) == WORD_END
             and len(BYTE_OF) == 256
             and self._tokenizer.normalizer is not None
-            and self._tokenizer.normalizer.normalize_str(" Ab  É ") .split() == ["ab", "é"]
+            and self._tokenizer.normalizer.normalize_str(" Ab  É ").split() == ["ab", "é"]
         )
 
     def __call__(self, text: str) -> np.ndarray:
-        if self._by_words and IS_LATIN(text) and not (self._special and self._special.search(text)):
-            return np.frombuffer(b"".join(map(self._words.__getitem__, text.lower().split())), self.dtype)
-        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
+        return next(self.encode([text]))
+
+    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text."""
+        known = [
+            self._by_words and IS_LATIN(t) and not (self._special and self._special.search(t)) for t in texts
+        ]
+        latin = self._latin(pa.array([t for t, k in zip(texts, known) if k], pa.large_string()))
+        for text, k in zip(texts, known):
+            yield next(latin) if k else np.array(
+                self._tokenizer.encode(text, add_special_tokens=False).ids, self.dtype
+            )
+
+    def _latin(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        cut = pc.utf8_split_whitespace(pc.utf8_lower(texts))
+        numbered = cut.values.dictionary_encode()
+        found = list(map(self._words.__getitem__, numbered.dictionary.to_pylist()))
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
+        begins = np.cumsum(lengths) - lengths
+        flat = np.frombuffer(b"".join(found), self.dtype)
+        word = numbered.indices.to_numpy()
+        ends = cut.offsets.to_numpy()
+        for low, high in zip(ends[:-1].tolist(), ends[1:].tolist()):
+            mine = word[low:high]
+            count = lengths[mine]
+            after = np.cumsum(count)
+            size = int(after[-1]) if len(after) else 0
+            yield flat[np.repeat(begins[mine] - after + count, count) + np.arange(size)]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -156,28 +181,26 @@ def _encoded(docs: DataFrame, tokenizer_json: str, window: int, end_id: int) ->
         if shared.value not in _encoders:
             _encoders[shared.value] = Encoder(shared.value)
         encoder = _encoders[shared.value]
-        df = np.zeros(encoder.size, np.int64)
+        df, distinct = np.zeros(encoder.size, np.int64), Distinct(encoder.size)
         counts = {DOCS: 0, RESTS: 0, REST_TOKENS: 0}
         end = np.array([end_id], encoder.dtype)
         for batch in batches:
-            out, size = [], 0
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.concatenate([encoder(text.as_py()), end])
-                df[np.unique(ids)] += 1
-                counts[DOCS] += 1
-                last = len(ids) // window * window
-                for start in range(0, last, window):
-                    piece = ids[start : start + window]
-                    out.append((WHOLE, doc_id, start, len(ids), piece.tobytes(), None, None))
-                if last < len(ids):
-                    out.append((REST, doc_id, last, len(ids), ids[last:].tobytes(), None, None))
-                    counts[RESTS] += 1
-                    counts[REST_TOKENS] += len(ids) - last
-                size += len(ids)
-                if size >= SHARD_TOKENS:
-                    yield _rows(out, ENCODED)
-                    out, size = [], 0
-            yield _rows(out, ENCODED)
+            doc_ids = iter(batch.column(0).to_pylist())
+            for texts in steps(batch.column(1), STEP_CHARS):
+                out = []
+                for doc_id, ids in zip(itertools.islice(doc_ids, len(texts)), encoder.encode(texts)):
+                    ids = np.append(ids, end)
+                    df[distinct(ids)] += 1
+                    counts[DOCS] += 1
+                    last = len(ids) // window * window
+                    for start in range(0, last, window):
+                        piece = ids[start : start + window]
+                        out.append((WHOLE, doc_id, start, len(ids), piece.tobytes(), None, None))
+                    if last < len(ids):
+                        out.append((REST, doc_id, last, len(ids), ids[last:].tobytes(), None, None))
+                        counts[RESTS] += 1
+                        counts[REST_TOKENS] += len(ids) - last
+                yield _rows(out, ENCODED)
         seen = np.flatnonzero(df)
         totals = [*zip(seen.tolist(), df[seen].tolist()), *((t, n) for t, n in counts.items() if n)]
         yield _rows([(TERM, None, None, None, None, t, n) for t, n in totals], ENCODED)
@@ -185,6 +208,19 @@ def _encoded(docs: DataFrame, tokenizer_json: str, window: int, end_id: int) ->
     return docs.mapInArrow(encode, ENCODED)
 
 
+class Distinct:
+    """The distinct ids of an array, in order, by marks on all ids."""
+
+    def __init__(self, size: int):
+        self._marks = np.zeros(size, dtype=bool)
+
+    def __call__(self, ids: np.ndarray) -> np.ndarray:
+        self._marks[ids] = True
+        found = np.flatnonzero(self._marks)
+        self._marks[found] = False
+        return found
+
+
 # --- the index ------------------------------------------------------------------
 
 @dataclass(frozen=True)
@@ -230,14 +266,18 @@ class Index:
         self._weight = statistics.idf[term] * often * (K1 + 1) / (often + norm[self._rest])
         self._begins = np.searchsorted(term, np.arange(terms + 1))
         self._held = self._count
+        self._distinct = Distinct(terms)
 
     def scores(self, query: np.ndarray) -> np.ndarray:
         """The BM25 score of each rest for the distinct terms of ``query``."""
-        terms = np.unique(query)
-        low, high = self._begins[terms], self._begins[terms.astype(np.int64) + 1]
-        count = high - low
-        at = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
-        return np.bincount(self._rest[at], self._weight[at], self._count)
+        terms = self._distinct(query)
+        low, high = self._begins[terms], self._begins[terms + 1]
+        some = high > low
+        parts = [slice(a, b) for a, b in zip(low[some].tolist(), high[some].tolist())]
+        if not parts:
+            return np.zeros(self._count)
+        rests = np.concatenate([self._rest[p] for p in parts])
+        return np.bincount(rests, np.concatenate([self._weight[p] for p in parts]), self._count)
 
     def forget(self, unused: np.ndarray) -> None:
         """Drop the postings of used rests, once half of those held are used."""
