@@ -81,7 +81,7 @@ def _rows(rows: list[tuple], ddl: str) -> pa.RecordBatch:
 
 # --- ids ------------------------------------------------------------------------
 
-class _Remembered(dict):
+class _Remembered:
     """Ids of words as bytes, found when a word is first met.
 
     When the words of one generation are many it becomes the one before, and words
@@ -89,18 +89,22 @@ class _Remembered(dict):
     """
 
     def __init__(self, find):
-        super().__init__()
-        self._find, self._before = find, {}
-
-    def __missing__(self, word: str) -> bytes:
-        found = self._before.get(word)
-        if found is None:
-            found = self._find(word)
-        if len(word) <= 100:
-            if len(self) >= REMEMBERED:
-                self._before = dict(self)
-                self.clear()
-            self[word] = found
+        self._find, self._now, self._before = find, {}, {}
+
+    def all(self, words: list[str]) -> list[bytes]:
+        found = list(map(self._now.get, words))
+        before, find = self._before.get, self._find
+        for k, ids in enumerate(found):
+            if ids is None:
+                word = words[k]
+                ids = before(word)
+                if ids is None:
+                    ids = find(word)
+                found[k] = ids
+                if len(word) <= 100:
+                    self._now[word] = ids
+        if len(self._now) >= REMEMBERED:
+            self._now, self._before = {}, self._now
         return found
 
 
@@ -122,9 +126,8 @@ class Encoder:
         as_bytes = [k.to_bytes(self.dtype.itemsize, "little") for k in range(self.size)]
 
         def of_word(word: str) -> bytes:
-            found = [word] if word.isalpha() else PRETOKENS(word)
-            if len(found) != 1:
-                return b"".join(map(self._words.__getitem__, found))
+            if not word.isalpha() and len(pieces := PRETOKENS(word)) != 1:
+                return b"".join(self._words.all(pieces))
             # printable ASCII stands for itself
             shown = word if word.isascii() else "".join(BYTES[b] for b in word.encode())
             return b"".join([as_bytes[t.id] for t in model.tokenize(shown)])
@@ -156,7 +159,7 @@ class Encoder:
     def _latin(self, texts: pa.Array) -> Iterator[np.ndarray]:
         cut = pc.utf8_split_whitespace(pc.utf8_lower(texts))
         numbered = cut.values.dictionary_encode()
-        found = list(map(self._words.__getitem__, numbered.dictionary.to_pylist()))
+        found = self._words.all(numbered.dictionary.to_numpy(zero_copy_only=False).tolist())
         lengths = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
         begins = np.cumsum(lengths) - lengths
         flat = np.frombuffer(b"".join(found), self.dtype)
