@@ -98,22 +98,27 @@ def _with_place(log: DataFrame) -> DataFrame:
     })
 
 
+def _shapes(keys: DataFrame) -> list[int]:
+    """The shapes in use: eight at most, by construction."""
+    return sorted(r["_shape"] for r in keys.select("_shape").distinct().collect())
+
+
+def _probe(shape: int, segment: Column, source: Column, event: Column) -> Column:
+    """The key of a shape that a message is looked up under; a null part meets no filter."""
+    empty = F.lit("")
+    return F.struct(
+        F.lit(shape).alias("_shape"),
+        (segment if shape & 1 else empty).alias("_k_segment_id"),
+        (source if shape & 2 else empty).alias("_k_source_name"),
+        (event if shape & 4 else empty).alias("_k_event_name"),
+    )
+
+
 def _matches(placed: DataFrame, keys: DataFrame) -> DataFrame:
     """The filter keys that each distinct place of the log matches, eight at most."""
-    # at most eight rows, by construction of the shape
-    shapes = sorted(r["_shape"] for r in keys.select("_shape").distinct().collect()) or [0]
-    empty = F.lit("")
+    # null for what is missing or a control message
     value = lambda c: F.when(F.col(c).startswith("="), F.substring(c, 2, 1 << 30))
-    probes = [
-        F.struct(
-            F.lit(shape).alias("_shape"),
-            # null for what is missing or a control message: it equals no filter's part
-            (value("_p_segment") if shape & 1 else empty).alias("_k_segment_id"),
-            (value("_p_source") if shape & 2 else empty).alias("_k_source_name"),
-            (value("_p_event") if shape & 4 else empty).alias("_k_event_name"),
-        )
-        for shape in shapes
-    ]
+    probes = [_probe(shape, *map(value, _PLACE)) for shape in _shapes(keys) or [0]]
     places = placed.select(*_PLACE).distinct()
     probed = places.select(*_PLACE, F.explode(F.array(*probes)).alias("_probe"))
     return lookup_join(
@@ -122,10 +127,37 @@ def _matches(placed: DataFrame, keys: DataFrame) -> DataFrame:
     )
 
 
+def _keyed_in_place(log: DataFrame, keys: DataFrame) -> DataFrame:
+    """Each message once per filter key that it matches, without a shuffle.
+
+    One look-up per shape marks the message; only marked keys are copied out.
+    """
+    event = F.when(F.col("kind") == EVENT, F.col("event.name"))
+    probes = []
+    for shape in _shapes(keys):
+        probe = _probe(shape, F.col("segment_id"), F.col("source_name"), event)
+        fixed = [part for bit, part in enumerate(_KEYS[1:]) if shape >> bit & 1]
+        if not fixed:
+            probes.append(probe)
+            continue
+        mark = f"_hit_{shape}"
+        there = keys.where(F.col("_shape") == shape).select(
+            *[F.col(c).alias(f"{mark}{c}") for c in fixed], F.lit(True).alias(mark)
+        ).distinct()
+        condition = F.lit(True)
+        for part in fixed:
+            condition = condition & (probe[part] == F.col(f"{mark}{part}"))
+        log = log.join(F.broadcast(there), condition, "left").drop(*[f"{mark}{c}" for c in fixed])
+        probes.append(F.when(F.col(mark), probe))
+    marks = [c for c in log.columns if c.startswith("_hit_")]
+    hits = F.filter(F.array(*probes), lambda p: p.isNotNull())
+    return log.withColumn("_probe", F.explode(hits)).drop(*marks).select("*", "_probe.*").drop("_probe")
+
+
 def route(
     log: DataFrame,
     filters: DataFrame | Settled,
-    residual: Callable[[DataFrame, DataFrame], Column] | None = None,
+    narrowed: Callable[[DataFrame], DataFrame] | None = None,
     also_on: Sequence[str] = (),
 ) -> DataFrame:
     """One copy of each message per matching filter.
@@ -134,16 +166,24 @@ def route(
     further columns, which are carried along. Bag semantics: a message that
     matches two filters of one subscriber is delivered twice; a subscriber to
     everything is one all-null filter; no filters, no rows. ``also_on`` names
-    columns of both sides that have to be equal as well. The places of the log
-    and the filters are computed while the plan is built.
+    columns of the filters that have to be equal as well; ``narrowed`` gives them
+    to the messages that match a filter so far. The filters, and the places of the
+    log if they are needed, are computed while the plan is built.
     """
     side = filters if isinstance(filters, Settled) else settle_filters(filters)
+    keys = [*_KEYS, *also_on]
+    if side.broadcastable and _shapes(side.df):
+        keyed = _keyed_in_place(log, side.df)
+        if narrowed is not None:
+            keyed = narrowed(keyed)
+        return lookup_join(keyed, side, keys).drop(*keys)
     placed = _with_place(log)
     matches = _matches(placed, side.df)
-    if residual is None and not also_on:
+    if narrowed is None:
         rows = lookup_join(matches, side, _KEYS, spread_by="_p_segment").drop(*_KEYS)
         return lookup_join(placed, rows, _PLACE).drop(*_PLACE)
-    # first the keys, then those rows of the filters that the further conditions leave
-    keyed = lookup_join(placed, matches, _PLACE).drop(*_PLACE)
-    keys = [*_KEYS, *also_on]
-    return lookup_join(keyed, side, keys, residual=residual).drop(*keys)
+    # what is compared further are numbers; payloads meet what is delivered
+    slim = placed.select("seq", *_PLACE)
+    keyed = narrowed(lookup_join(slim, matches, _PLACE).drop(*_PLACE))
+    delivered = lookup_join(keyed, side, keys).drop(*keys)
+    return log.join(delivered, "seq")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracelake.model import EVENT, LOG_COLUMNS
 from tracelake.operators.catalog import fold, snapshot
-from tracelake.operators.filters import parse_filters, route
+from tracelake.operators.filters import parse_filters, route, settle_filters
+from tracelake.plans.intervals import cut, nodes_of_number
 from tracelake.plans.joins import settle
 from tracelake.plans.ordered import next_marked
 
@@ -40,45 +41,25 @@ def subscription_intervals(commands: DataFrame) -> DataFrame:
     )
 
 
-# Stretches of the log that intervals are cut into for routing.
-STRETCHES = 256
-
-
 def route_subscriptions(log: DataFrame, commands: DataFrame) -> DataFrame:
     """Messages each subscriber receives while its filters are in force.
 
-    Intervals are cut at fixed stretches of ``seq``, and a message is compared
-    only with the pieces in its own stretch. A filter that is switched on and
-    off all the time therefore does not cost every message a look at all of
-    its intervals.
+    The time a filter is in force is cut into nodes of a tree over ``seq``, and a
+    message looks for its own nodes on the levels in use: an equi-join that meets
+    only what is delivered, however many commands come in a burst.
     """
     intervals = settle(subscription_intervals(commands)).df
-    edges = intervals.agg(
-        F.min("sub_seq").alias("low"), F.max(F.greatest("sub_seq", "end_seq")).alias("high")
-    ).first()
-    low, high = edges["low"] or 0, edges["high"] or 0
-    width = (high - low) // STRETCHES + 1
-
-    def stretch(seq: Column) -> Column:
-        at = F.floor((seq - F.lit(low)) / F.lit(width))
-        return F.greatest(F.lit(0), F.least(F.lit(STRETCHES), at)).cast("int")
-
-    pieces = intervals.withColumn(
-        "_stretch",
-        F.explode(
-            F.sequence(
-                stretch(F.col("sub_seq")),
-                F.coalesce(stretch(F.col("end_seq")), F.lit(STRETCHES)),
-            )
-        ),
-    )
-    return route(
-        log.withColumn("_stretch", stretch(F.col("seq"))),
-        pieces,
-        residual=lambda left, right: (left["seq"] > right["sub_seq"])
-        & (right["end_seq"].isNull() | (left["seq"] < right["end_seq"])),
-        also_on=["_stretch"],
-    ).drop("_stretch")
+    pieces, tree = cut(intervals, "sub_seq", "end_seq")
+    filters = settle_filters(pieces)
+    # at most as many as the tree has
+    levels = sorted(r["_level"] for r in filters.df.select("_level").distinct().collect())
+
+    def with_nodes(messages: DataFrame) -> DataFrame:
+        nodes = nodes_of_number(F.col("seq"), tree, levels)
+        probed = messages.withColumn("_node", F.explode(nodes))
+        return probed.withColumns({"_level": F.col("_node.level"), "_number": F.col("_node.number")}).drop("_node")
+
+    return route(log, filters, narrowed=with_nodes, also_on=["_level", "_number"])
 
 
 def replay_from(log: DataFrame, start_time_ns: int | None) -> DataFrame:

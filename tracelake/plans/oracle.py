@@ -441,6 +441,28 @@ SELECT w.subscriber_id, e.segment_id, e.kind, count(*) AS copies,
 FROM envelopes e JOIN wanted w ON""", _MATCH, """
   AND e.seq > w.sub_seq AND (w.end_seq IS NULL OR e.seq < w.end_seq)
 GROUP BY w.subscriber_id, e.segment_id, e.kind
+"""),
+    "subscription_bursts": _with("""
+, marks AS (
+  SELECT CAST(user_id AS VARCHAR) AS subscriber_id, segment_id AS f_segment, event_type AS f_event,
+    event_id * 10 + 10001 AS seq, TRUE AS on_ FROM ev
+  UNION ALL
+  SELECT CAST(user_id AS VARCHAR), segment_id, event_type, event_id * 10 + 10705, FALSE FROM ev
+), ended AS (
+  SELECT *, min(CASE WHEN NOT on_ THEN seq END) OVER (
+    PARTITION BY subscriber_id, f_segment, f_event ORDER BY seq
+    ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS end_seq
+  FROM marks
+), wanted AS (
+  SELECT subscriber_id, seq AS sub_seq, end_seq, f_segment, NULL::VARCHAR AS f_source, f_event
+  FROM ended WHERE on_
+  UNION ALL SELECT 'late', 1000000000, NULL, NULL, NULL, NULL
+)
+SELECT w.subscriber_id, e.segment_id, e.kind, count(*) AS copies,
+       CAST(sum(e.seq) AS BIGINT) AS sum_seq
+FROM envelopes e JOIN wanted w ON""", _MATCH, """
+  AND e.seq > w.sub_seq AND (w.end_seq IS NULL OR e.seq < w.end_seq)
+GROUP BY w.subscriber_id, e.segment_id, e.kind
 """),
     "replay_from": _with("""
 SELECT segment_id, kind, count(*) AS messages, CAST(sum(seq) AS BIGINT) AS sum_seq

@@ -314,6 +314,19 @@ def subscription_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _per_subscriber(subs.route_subscriptions(sample_log(spark, sf_dir), commands))
 
 
+def subscription_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event is a moment's interest of its user in events like it, and one comes late."""
+    n = F.col("event_id") * 10 + 10_000
+    filter_text = F.concat(F.upper("segment_id"), F.lit("/*/"), F.col("event_type"))
+    who = F.col("user_id").cast("string").alias("subscriber_id")
+    events = read_events(spark, sf_dir)
+    ons = events.select(who, (n + 1).alias("seq"), F.lit("subscribe").alias("action"), filter_text.alias("filter"))
+    offs = events.select(who, (n + 705).alias("seq"), F.lit("unsubscribe").alias("action"), filter_text.alias("filter"))
+    late = spark.createDataFrame([("late", 1_000_000_000, "subscribe", "*/*/*")], COMMANDS_DDL)
+    commands = ons.unionByName(offs).unionByName(late)
+    return _per_subscriber(subs.route_subscriptions(sample_log(spark, sf_dir), commands))
+
+
 def _per_subscriber(routed: DataFrame) -> DataFrame:
     return routed.groupBy("subscriber_id", "segment_id", "kind").agg(
         F.count("*").alias("copies"), F.sum("seq").alias("sum_seq")
@@ -884,6 +897,7 @@ QUERIES = {
     "filter_route": filter_route,
     "subscription_intervals": subscription_intervals,
     "subscription_route": subscription_route,
+    "subscription_bursts": subscription_bursts,
     "replay_from": replay_from,
     "late_subscriber": late_subscriber,
     "latest_values": latest_values,
