@@ -443,3 +443,34 @@ def render_first(row):
 
 def test_end_message_only(spark):
     assert catalog.fold(log_of(spark, [end(1, SEG_A, 3, "z")])).segments.first().source == "z"
+
+
+def numbered(spark, rows):
+    flat = batches.flatten_batches(spark.createDataFrame(rows, BATCH_DDL).repartition(3))
+    return sorted((r.seq, r.stream_id, r.batch_no, r.pos, r.decode_error) for r in flat.collect())
+
+
+def test_batches_without_a_number_are_bad_messages(spark):
+    one = (b"x" * 16, "s", "segment_start", (1, "s"), None, None, None, None)
+    got = numbered(spark, [("a", 1, [one]), ("a", None, [one, one]), (None, None, None), ("b", 0, [one])])
+    assert [g[0] for g in got] == [0, 1, 2, 3]
+    assert [g[1:] for g in got[:2]] == [("b", 0, 0, None), ("a", 1, 0, None)]
+    assert {g[1:] for g in got[2:]} == {(s, None, 0, "missing_batch_no") for s in (None, "a")}
+    flat = batches.flatten_batches(spark.createDataFrame([("a", 1, [one]), ("a", None, [one, one])], BATCH_DDL))
+    status = batches.publish_status(batches.check_messages(flat)).first()
+    assert tuple(status)[1:5] == (2, 1, 1, "missing_batch_no")
+    strict = batches.strict_publish_status(batches.check_messages(flat)).first()
+    assert tuple(strict)[1:6] == (1, 1, 0, 1, "missing_batch_no")
+
+
+def test_null_and_empty_streams_are_two(spark):
+    one = (b"x" * 16, "s", "segment_start", (1, "s"), None, None, None, None)
+    got = numbered(spark, [(None, 1, [one, one]), ("", 1, [one, one])])
+    assert [g[:4] for g in got] == [(0, None, 1, 0), (1, None, 1, 1), (2, "", 1, 0), (3, "", 1, 1)]
+
+
+def test_rows_of_one_stream_and_number_have_numbers_of_their_own(spark):
+    one = (b"x" * 16, "s", "segment_start", (1, "s"), None, None, None, None)
+    got = numbered(spark, [("a", 1, [one, one]), ("a", 1, [one, one]), ("a", 1, [one]), ("a", 0, [one])])
+    assert [g[0] for g in got] == list(range(6)) and got[0][2] == 0
+    assert sorted(g[3] for g in got[1:]) == [0, 0, 0, 1, 1]

@@ -52,7 +52,7 @@ def test_nothing_is_seen_before_the_first_commit(spark):
     assert catalog_as_dicts(CS.read_catalog(spark, root)) == {}
     messages = random_log(3)
     # an attempt that was cut off before its commit
-    CS._write(CS.fold_state(log_of(spark, messages), "update"), root, 0)
+    CS._write(CS.fold_state(log_of(spark, messages), "update"), root, "part=0-0-lost")
     assert catalog_as_dicts(CS.read_catalog(spark, root)) == {}
     CS.update_catalog(log_of(spark, messages), 0, root)
     assert catalog_as_dicts(CS.read_catalog(spark, root)) == sequential_fold(messages)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -49,6 +52,33 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_scratch: contextvars.ContextVar[str | None] = contextvars.ContextVar("scratch", default=None)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A folder name under the shared folder that nothing else uses."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    parent = _scratch.get() or shared_folder(spark).rstrip("/")
+    return f"{parent}/{label}-{uuid.uuid4().hex}"
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Side tables written inside are deleted at the end, also after a failure.
+
+    For work that is finished then, such as a micro-batch whose results are
+    committed: nothing that reads these tables may be used afterwards.
+    """
+    folder = f"{shared_folder(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}"
+    token = _scratch.set(folder)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        delete_folder(spark, folder)
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of the library's own, if it is there."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -16,7 +16,7 @@ from tracelake.model import (
     NAMED_VALUES,
     TYPE_BY_NAME,
 )
-from tracelake.plans.joins import lookup_join, settle
+from tracelake.plans.joins import lookup_join, settle, written
 from tracelake.plans.ordered import running_number
 
 INVALID_UUID = "invalid_uuid"
@@ -24,6 +24,7 @@ MISSING_MESSAGE = "missing_message"
 MISSING_DATA_TYPE = "missing_data_type"
 MISSING_VALUE = "missing_value"
 TRUNCATION = "truncation"
+MISSING_BATCH_NO = "missing_batch_no"
 
 
 def read_batches(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
@@ -36,35 +37,47 @@ def stream_batches(
     return spark.readStream.format(file_format).schema(BATCH_DDL).options(**options).load(path)
 
 
+# Batches without a number come after all that have one.
+_UNNUMBERED = (1 << 63) - 1
+
+
 def flatten_batches(batches: DataFrame, first_seq: int = 0) -> DataFrame:
     """One row per message of each batch, in order.
 
     ``batch_no`` is the arrival number of a batch over all streams. ``seq``
     numbers messages on from ``first_seq`` by (batch_no, stream_id, position): a
     batch begins where the sizes of all earlier ones end, so batches and numbers
-    of any size fit. A batch that could not be decoded (``decode_error``) is one
-    message without content, so that it is quarantined and counted.
+    of any size fit. Rows of one stream and number follow each other as they were
+    read. A batch that could not be decoded (``decode_error``) or has no number is
+    one message without content, so that it is quarantined and counted.
+
+    The batches are stored once, so that decoding them is not repeated; they are
+    numbered by narrow rows with an id of their own.
     """
     if "decode_error" not in batches.columns:
         batches = batches.withColumn("decode_error", F.lit(None).cast("string"))
     messages = batches.schema["trace_messages"].dataType
     nothing = F.array(F.lit(None).cast(messages.elementType))
-    held = batches.withColumn(
-        "trace_messages",
-        F.when(F.col("decode_error").isNotNull(), nothing).otherwise(F.col("trace_messages")),
+    error = F.coalesce("decode_error", F.when(F.col("batch_no").isNull(), F.lit(MISSING_BATCH_NO)))
+    held = written(
+        batches.select("stream_id", "batch_no", error.alias("decode_error"), "trace_messages")
+        .withColumn(
+            "trace_messages",
+            F.when(F.col("decode_error").isNotNull(), nothing).otherwise(F.col("trace_messages")),
+        )
+        .withColumns({
+            "_size": F.greatest(F.size("trace_messages"), F.lit(0)).cast("bigint"),
+            "_row": F.monotonically_increasing_id(),
+        })
     )
-    # batches are numbered by narrow rows; messages do not travel for it
-    sizes = held.select(
-        "stream_id", "batch_no",
-        F.greatest(F.size("trace_messages"), F.lit(0)).cast("bigint").alias("_size"),
-    ).groupBy("stream_id", "batch_no").agg(F.sum("_size").alias("_size"))
-    begins = running_number(
-        sizes, [], "_begin", seq="batch_no", tie="stream_id", weight=F.col("_size")
-    ).select(F.coalesce("stream_id", F.lit("")).alias("_stream"), "batch_no", "_begin")
-    numbered = lookup_join(
-        held.withColumn("_stream", F.coalesce("stream_id", F.lit(""))),
-        begins, ["_stream", "batch_no"], spread_by="batch_no",
+    narrow = held.select(
+        "_row", "_size", F.coalesce("batch_no", F.lit(_UNNUMBERED)).alias("_order"),
+        F.struct("stream_id", "_row").alias("_tie"),
     )
+    begins = running_number(
+        narrow, [], "_begin", seq="_order", tie="_tie", weight=F.col("_size")
+    ).select("_row", "_begin")
+    numbered = lookup_join(held, begins, ["_row"], spread_by="_row", unique=True)
     return (
         numbered.select(
             "stream_id", "batch_no", "decode_error", "_begin",
@@ -219,7 +232,8 @@ def strict_publish_status(checked: DataFrame) -> DataFrame:
     joined = lookup_join(checked, settle(bad), ["stream_id"], "left")
     fine = F.col("_bad_seq").isNull()
     before = fine | (F.col("seq") < F.col("_bad_seq"))
-    whole = fine | (F.col("batch_no") < F.col("_bad_batch"))
+    # a bad batch without a number comes after all others
+    whole = fine | F.coalesce(F.col("batch_no") < F.col("_bad_batch"), F.col("batch_no").isNotNull())
     return (
         joined.groupBy("stream_id", "stream_error")
         .agg(

@@ -1,10 +1,10 @@
 """Incremental catalog maintenance (M10) on stored partial folds.
 
-Each micro-batch writes only its own partial fold, under its batch id, so the
-cost of a batch does not grow with the catalog and a repeated batch overwrites
-itself until it is committed. Reading merges the partial folds of committed
-batches; :func:`compact` merges them for good. Of the state only the numbers of
-the batches come to the driver.
+Each micro-batch writes only its own partial fold, so the cost of a batch does not
+grow with the catalog, and commits it. Reading merges the partial folds of the
+committed parts; :func:`merge` does so for good, beside the stream, for parts of one
+level, and :func:`compact` for all of them. Of the state only the manifest comes
+to the driver.
 """
 
 from __future__ import annotations
@@ -23,7 +23,8 @@ from tracelake.operators.catalog import (
     merge_rows,
     state_to_catalog,
 )
-from tracelake.streaming.commits import commit, committed, read_committed
+from tracelake.session import scratch
+from tracelake.streaming import commits
 
 VALUE_STATE_DDL = (
     "segment_id STRING, event_name STRING, field_name STRING, tag STRING, key STRING, "
@@ -38,10 +39,9 @@ _TABLES = {
 _ARRIVAL = {"segments": "last_seq", "schemas": "schema_seq", "values": "seq"}
 
 
-def _write(state: FoldState, root: str, batch_id: int) -> None:
+def _write(state: FoldState, root: str, folder: str) -> None:
     for name in _TABLES:
-        path = f"{root}/{name}/batch_id={batch_id}"
-        getattr(state, name).write.mode("overwrite").parquet(path)
+        getattr(state, name).write.mode("overwrite").parquet(f"{root}/{name}/{folder}")
 
 
 def update_catalog(
@@ -51,30 +51,46 @@ def update_catalog(
     *,
     mode: str = "update",
     tombstones: DataFrame | None = None,
+    merging: bool = True,
 ) -> None:
     """``foreachBatch`` body: store the partial fold of one micro-batch.
 
     ``tombstones`` (segment_id, seq) has to list a removal before the messages
-    that follow it are processed, as in the log itself.
+    that follow it are processed, as in the log itself. With ``merging`` the parts
+    that are due are merged after the commit; otherwise call :func:`merge` beside.
     """
     spark = batch.sparkSession
-    if batch_id in committed(spark, root):
+    if commits.is_committed(spark, root, batch_id):
         return
+    folder = commits.new_part(batch_id, batch_id)
     if tombstones is not None:
         batch = drop_removed(batch, tombstones)
     # the three tables of the fold read the batch once
     batch = batch.persist()
     try:
-        _write(fold_state(batch, mode), root, batch_id)
+        with scratch(spark):
+            _write(fold_state(batch, mode), root, folder)
     finally:
         batch.unpersist()
-    commit(spark, root, batch_id)
+    commits.commit(spark, root, batch_id, folder)
+    if merging:
+        merge(spark, root, tombstones)
 
 
 def read_state(
     spark: SparkSession, root: str, tombstones: DataFrame | None = None
 ) -> FoldState:
-    parts = {name: read_committed(spark, root, name, ddl) for name, ddl in _TABLES.items()}
+    parts = commits.latest(spark, root).parts
+    return _state_of(spark, root, [p.folder for p in parts], tombstones)
+
+
+def _state_of(
+    spark: SparkSession, root: str, folders: list[str], tombstones: DataFrame | None
+) -> FoldState:
+    parts = {
+        name: commits.read_paths(spark, root, name, ddl, [f"{root}/{name}/{f}" for f in folders])
+        for name, ddl in _TABLES.items()
+    }
     if tombstones is not None:
         # A removal forgets partial folds of batches before it. The messages of
         # its own batch that came before it were left out on writing.
@@ -98,6 +114,20 @@ def read_catalog(
     return state_to_catalog(read_state(spark, root, tombstones))
 
 
+def merge(spark: SparkSession, root: str, tombstones: DataFrame | None = None) -> int:
+    """Merge the partial folds that are due; the number of merges.
+
+    Removals have to be given here as on reading: once merged, what came before a
+    removal can't be told from what came after.
+    """
+
+    def write(folders: list[str], folder: str) -> None:
+        with scratch(spark):
+            _write(_state_of(spark, root, folders, tombstones), root, folder)
+
+    return commits.merge_all(spark, root, list(_TABLES), write)
+
+
 def compact(
     spark: SparkSession,
     root: str,
@@ -105,13 +135,10 @@ def compact(
     batch_id: int,
     tombstones: DataFrame | None = None,
 ) -> None:
-    """Merge all partial folds of ``root`` into one, stored in a new folder.
-
-    Removals have to be given here as on reading: once merged, what came before a
-    removal can't be told from what came after.
-    """
-    _write(read_state(spark, root, tombstones), new_root, batch_id)
-    commit(spark, new_root, batch_id)
+    """All partial folds of ``root`` as one, stored in a new folder; removals as in :func:`merge`."""
+    folder = commits.new_part(batch_id, batch_id)
+    _write(read_state(spark, root, tombstones), new_root, folder)
+    commits.commit(spark, new_root, batch_id, folder)
 
 
 def start_catalog_stream(

@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelake.model import LOG_COLUMNS
+from tracelake.model import LOG_COLUMNS, LOG_DDL
 from tracelake.operators.batching import SUBSCRIBE_BATCH, responses
 from tracelake.operators.catalog import fold, snapshot
 from tracelake.operators.filters import route, settle_filters
 from tracelake.operators.subscriptions import route_subscriptions
+from tracelake.session import scratch
+from tracelake.streaming import commits
 
 
 def start_routing(
@@ -42,13 +44,18 @@ def start_late_subscriber(
     overlap at the boundary, whatever of the past the stream still delivers.
     """
     snapshot(fold(past.where(F.col("seq") <= at_seq))).write.mode("overwrite").parquet(
-        f"{root}/part=0"
+        f"{root}/snapshot"
     )
     settled = settle_filters(filters)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        live = route(batch.where(F.col("seq") > at_seq), settled).select(*LOG_COLUMNS)
-        live.write.mode("overwrite").parquet(f"{root}/part=1/batch_id={batch_id}")
+        spark, folder = batch.sparkSession, commits.new_part(batch_id, batch_id)
+        if commits.is_committed(spark, root, batch_id):
+            return
+        with scratch(spark):
+            live = route(batch.where(F.col("seq") > at_seq), settled).select(*LOG_COLUMNS)
+            live.write.mode("overwrite").parquet(f"{root}/live/{folder}")
+        commits.commit(spark, root, batch_id, folder)
 
     return (
         log.writeStream.foreachBatch(write)
@@ -60,8 +67,8 @@ def start_late_subscriber(
 
 def late_delivered(spark: SparkSession, root: str) -> DataFrame:
     """Snapshot and live messages of a late subscriber, by ``part``."""
-    first = spark.read.parquet(f"{root}/part=0").withColumn("part", F.lit(0))
-    live = spark.read.option("basePath", f"{root}/part=1").parquet(f"{root}/part=1/*")
+    first = spark.read.parquet(f"{root}/snapshot").withColumn("part", F.lit(0))
+    live = commits.read_committed(spark, root, "live", LOG_DDL)
     return first.unionByName(
         live.select(*LOG_COLUMNS).withColumn("part", F.lit(1)), allowMissingColumns=True
     )
@@ -107,11 +114,14 @@ def start_responses(
 
 def _start(transform, log: DataFrame, root: str, checkpoint: str, trigger: dict | None):
     def write(batch: DataFrame, batch_id: int) -> None:
-        # few files for each subscriber, and a subscriber to everything in several tasks
-        out = transform(batch).hint("rebalance", "subscriber_id")
-        out.write.mode("overwrite").partitionBy("subscriber_id").parquet(
-            f"{root}/batch_id={batch_id}"
-        )
+        spark, folder = batch.sparkSession, commits.new_part(batch_id, batch_id)
+        if commits.is_committed(spark, root, batch_id):
+            return
+        with scratch(spark):
+            # few files for each subscriber, and a subscriber to everything in several tasks
+            out = transform(batch).hint("rebalance", "subscriber_id")
+            out.write.mode("overwrite").partitionBy("subscriber_id").parquet(f"{root}/rows/{folder}")
+        commits.commit(spark, root, batch_id, folder)
 
     return (
         log.writeStream.foreachBatch(write)
@@ -122,5 +132,8 @@ def _start(transform, log: DataFrame, root: str, checkpoint: str, trigger: dict
 
 
 def delivered(spark: SparkSession, root: str) -> DataFrame:
-    """What has been written for the subscribers so far."""
-    return spark.read.option("basePath", root).parquet(root)
+    """What has been written for the subscribers so far, by committed batches."""
+    found = commits.paths(spark, root, "rows")
+    if not found:
+        raise ValueError(f"no batch is committed under {root}")
+    return spark.read.option("basePath", f"{root}/rows").parquet(*found).drop("part")
