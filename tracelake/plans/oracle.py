@@ -596,6 +596,30 @@ SELECT source_name, ordinal // 1000 AS batch_no, count(*) AS messages, min(seq)
        max(seq) AS last_seq, CAST(sum((ordinal % 1000) * seq) AS BIGINT) AS order_check
 FROM numbered GROUP BY source_name, ordinal // 1000
 """),
+    "timed_batches": _with("""
+, clocked AS (
+  SELECT source_name, seq, row_number() OVER w - 1 AS place,
+    coalesce(max(time_ns) OVER w, -4611686018427387904) AS clock
+  FROM envelopes WINDOW w AS (PARTITION BY source_name ORDER BY seq)
+), chain AS (
+  SELECT source_name, 0 AS batch_no, place AS begins, clock FROM clocked WHERE place = 0
+  UNION ALL
+  SELECT n.source_name, n.batch_no, n.begins, c.clock FROM (
+    SELECT h.source_name, h.batch_no + 1 AS batch_no, least(h.begins + 50, (
+      SELECT min(r.place) FROM clocked r
+      WHERE r.source_name IS NOT DISTINCT FROM h.source_name AND r.place > h.begins
+        AND r.clock >= h.clock + 43200000000000)) AS begins
+    FROM chain h) n
+  JOIN clocked c ON c.source_name IS NOT DISTINCT FROM n.source_name AND c.place = n.begins
+), cut AS (
+  SELECT *, lead(begins) OVER (PARTITION BY source_name ORDER BY batch_no) AS ends FROM chain
+)
+SELECT c.source_name, CAST(batch_no AS BIGINT) AS batch_no, count(*) AS messages, min(seq) AS first_seq,
+       max(seq) AS last_seq, CAST(sum((place - begins) * seq) AS BIGINT) AS order_check
+FROM clocked c JOIN cut ON c.source_name IS NOT DISTINCT FROM cut.source_name
+  AND place >= begins AND (ends IS NULL OR place < ends)
+GROUP BY c.source_name, batch_no
+""").replace("WITH ", "WITH RECURSIVE ", 1),
     "subscriber_responses": _with("""
 , wanted(subscriber_id, filter_no, f_segment, f_source, f_event) AS (
   VALUES ('clicks', 0, NULL::VARCHAR, NULL, 'click'), ('clicks', 1, NULL, 'src1', NULL),

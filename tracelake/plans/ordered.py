@@ -85,6 +85,43 @@ def _sized(offsets: DataFrame, totals: Settled) -> DataFrame:
     return F.broadcast(offsets) if totals.broadcastable else offsets
 
 
+def running_max(
+    df: DataFrame, keys: Sequence[str], value: Column, name: str, *, seq: str = "seq", block_bits: int = BLOCK_BITS
+) -> DataFrame:
+    """Add the largest value of the key so far by ``seq``, the row's own included.
+
+    Rows that share a number see each other's values. Block maxima are stored and
+    measured while the plan is built.
+    """
+    keys = list(keys)
+    blocked = (
+        df.withColumn("_value", value)
+        .withColumn("_block", F.shiftright(F.col(seq), block_bits))
+        .withColumn("_super", F.shiftright(F.col(seq), 2 * block_bits))
+    )
+    inside = Window.partitionBy(*keys, "_block").orderBy(seq)
+    local = blocked.withColumn("_local", F.max("_value").over(inside))
+
+    side = settle(
+        blocked.groupBy(*keys, "_super", "_block").agg(F.max("_value").alias("_most"))
+    )
+    totals = side.df
+    earlier = (Window.unboundedPreceding, -1)
+    in_super = Window.partitionBy(*keys, "_super").orderBy("_block").rowsBetween(*earlier)
+    blocks = totals.withColumn("_before", F.max("_most").over(in_super))
+    supers = totals.groupBy(*keys, "_super").agg(F.max("_most").alias("_most"))
+    in_key = Window.partitionBy(*keys).orderBy("_super").rowsBetween(*earlier)
+    supers = supers.select(*keys, "_super", F.max("_most").over(in_key).alias("_long_before"))
+    before = _on(blocks, supers, [*keys, "_super"]).select(
+        *keys, "_block", F.greatest("_before", "_long_before").alias("_earlier")
+    )
+    return (
+        _on(local, _sized(before, side), [*keys, "_block"])
+        .withColumn(name, F.greatest("_local", "_earlier"))
+        .drop("_value", "_block", "_super", "_local", "_earlier")
+    )
+
+
 def next_marked(
     df: DataFrame,
     keys: Sequence[str],

@@ -32,6 +32,7 @@ from tracelake.model import (
 )
 from tracelake.operators import batching, catalog, conformance, filters, samples, signals
 from tracelake.operators import subscriptions as subs
+from tracelake.operators.timed_batches import number_timed_batches
 from tracelake.plans.joins import written
 from tracelake.plans.sample_log import read_events, sample_log
 from tracelake.sources import batches, wire
@@ -565,6 +566,19 @@ def publish_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def timed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches per source that close after 50 messages or half a day."""
+    numbered = number_timed_batches(
+        sample_log(spark, sf_dir), ["source_name"], batch_size=50, timeout_ns=43_200_000_000_000
+    )
+    return numbered.groupBy("source_name", "batch_no").agg(
+        F.count("*").alias("messages"),
+        F.min("seq").alias("first_seq"),
+        F.max("seq").alias("last_seq"),
+        F.sum(F.col("batch_pos") * F.col("seq")).alias("order_check"),
+    )
+
+
 def subscriber_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = spark.createDataFrame(
         [
@@ -914,6 +928,7 @@ QUERIES = {
     "undecodable_status": undecodable_status,
     "strict_publish_status": strict_publish_status,
     "publish_batches": publish_batches,
+    "timed_batches": timed_batches,
     "subscriber_responses": subscriber_responses,
     "wire_round_trip": wire_round_trip,
     "emit_rows": emit_rows,
