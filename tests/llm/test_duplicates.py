@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import re
 
 import numpy as np
@@ -307,3 +308,20 @@ def test_representatives_keep_the_smallest_id(spark):
     kept = golay.representatives(df)
     assert kept.columns == ["doc_id", "text"]
     assert {r.doc_id for r in kept.collect()} == {4, 7, None}
+
+
+def test_repeated_lines_are_compared_in_little_time():
+    rng = random.Random(12)
+    lines = [" ".join(f"w{rng.randrange(40)}" for _ in range(9)).encode() for _ in range(12)]
+    for words, runs, seconds in ((400, 100, 1), (1000, 700, 4)):
+        texts = [b" ".join(rng.choice(lines) for _ in range(words // 9)) for _ in range(2)]
+        one, two = map(passages.tokens, texts)
+        assert len(passages.runs_along_diagonals(one, two)) > runs
+        begun = time.process_time()
+        passages.shared_passages(one, two)
+        assert time.process_time() - begun < seconds
+    # one word over and over: each alignment is one run, all taken from one table
+    one, two = passages.tokens(b"x " * 60), passages.tokens(b"x " * 1500)
+    begun = time.process_time()
+    found = passages.shared_passages(one, two)
+    assert time.process_time() - begun < 5 and found[0][:4] == (0, 60, 0, 60)
