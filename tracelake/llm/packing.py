@@ -54,7 +54,7 @@ TASK_TOKENS = 64 << 20
 # Characters of text that are encoded together.
 STEP_CHARS = 8 << 20
 # Words of a generation whose ids a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 500_000
 
 WHOLE, REST, TERM = 0, 1, 2
 # Counts that travel with the document frequencies, under terms of their own.
@@ -160,17 +160,22 @@ class Encoder:
         cut = pc.utf8_split_whitespace(pc.utf8_lower(texts))
         numbered = cut.values.dictionary_encode()
         found = self._words.all(numbered.dictionary.to_numpy(zero_copy_only=False).tolist())
-        lengths = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
-        begins = np.cumsum(lengths) - lengths
+        lengths = np.fromiter(map(len, found), np.int32, len(found)) // self.dtype.itemsize
+        begins = np.cumsum(lengths, dtype=np.int64) - lengths
         flat = np.frombuffer(b"".join(found), self.dtype)
+        # numbers of half the size, wherever they are enough
+        small = np.int32 if len(flat) < 1 << 31 else np.int64
+        begins = begins.astype(small)
         word = numbered.indices.to_numpy()
         ends = cut.offsets.to_numpy()
         for low, high in zip(ends[:-1].tolist(), ends[1:].tolist()):
             mine = word[low:high]
             count = lengths[mine]
-            after = np.cumsum(count)
+            after = np.cumsum(count, dtype=np.int64)
             size = int(after[-1]) if len(after) else 0
-            yield flat[np.repeat(begins[mine] - after + count, count) + np.arange(size)]
+            wide = small if size < 1 << 31 else np.int64
+            before = (after - count).astype(wide)
+            yield flat[np.repeat(begins[mine].astype(wide, copy=False) - before, count) + np.arange(size, dtype=wide)]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -364,6 +369,15 @@ def _statistics(encoded: DataFrame, dtype: np.dtype, size: int) -> tuple[Statist
     return Statistics(inverse_frequency(df, found.get(DOCS, 0)), max(mean, 1.0), dtype.str), tokens
 
 
+def _flat(batch: pa.Array, dtype: str) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all rows one after the other, a view, and where rows begin and end."""
+    batch = batch.cast(pa.large_binary())
+    _, offsets, data = batch.buffers()
+    edges = np.frombuffer(offsets, np.int64)[batch.offset : batch.offset + len(batch) + 1]
+    held = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return held[edges[0] : edges[-1]].view(dtype), (edges - edges[0]) // np.dtype(dtype).itemsize
+
+
 def _signature(spark: SparkSession, statistics: Statistics):
     """A column function from ids to two weighted min-hashes."""
     ranks = spark.sparkContext.broadcast([statistics.ranks(k) for k in range(2)])
@@ -371,9 +385,8 @@ def _signature(spark: SparkSession, statistics: Statistics):
 
     def sign(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            begins = np.cumsum([0, *(len(b.as_py()) for b in batch)])[:-1] // np.dtype(dtype).itemsize
-            flat = np.frombuffer(b"".join(b.as_py() for b in batch), dtype)
-            found = [np.minimum.reduceat(r[flat], begins) if len(batch) else [] for r in ranks.value]
+            flat, edges = _flat(batch, dtype)
+            found = [np.minimum.reduceat(r[flat], edges[:-1]) if len(batch) else [] for r in ranks.value]
             yield pa.StructArray.from_arrays([pa.array(f, pa.int32()) for f in found], names=["a", "b"])
 
     return F.arrow_udf(sign, "struct<a: int, b: int>").asNondeterministic()
@@ -415,7 +428,12 @@ def _wide(dtype: np.dtype):
 
     def widen(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array([np.frombuffer(b.as_py(), kind).astype("<u4").tobytes() for b in batch], pa.binary())
+            if not len(batch):
+                yield pa.array([], pa.binary())
+                continue
+            flat, edges = _flat(batch, kind)
+            buffers = [None, pa.py_buffer(4 * edges), pa.py_buffer(flat.astype("<u4"))]
+            yield pa.Array.from_buffers(pa.large_binary(), len(batch), buffers).cast(pa.binary())
 
     return F.arrow_udf(widen, "binary").asNondeterministic()
 
