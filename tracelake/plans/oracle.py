@@ -743,6 +743,7 @@ FROM moved
 
 # The streaming twins end in the same tables as their batch forms.
 ORACLE["stream_catalog"] = ORACLE["signals"]
+ORACLE["stream_latest"] = ORACLE["latest_values"]
 ORACLE["stream_route"] = ORACLE["filter_route"]
 ORACLE["stream_ingest"] = ORACLE["publish_status"]
 ORACLE["stream_remove_segment"] = ORACLE["remove_segment"]

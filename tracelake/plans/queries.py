@@ -39,6 +39,7 @@ from tracelake.sources import batches, wire
 from tracelake.session import new_folder
 from tracelake.sources.catalog_rows import signals_from_rows
 from tracelake.streaming.catalog_stream import compact, read_catalog, start_catalog_stream
+from tracelake.streaming.latest_stream import latest_now, start_latest
 from tracelake.streaming.routing_stream import (
     delivered,
     late_delivered,
@@ -811,6 +812,14 @@ def stream_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _signal_columns(read_catalog(spark, root))
 
 
+def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = new_folder(spark, "latest")
+    start_latest(
+        _log_stream(spark, sf_dir), root, new_folder(spark, "latest-offsets")
+    ).awaitTermination()
+    return latest_now(spark, root).select("full_name", "message", "signal", "time_ns", "value")
+
+
 def stream_remove_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The catalog after removals, kept by a stream, compacted, and read."""
     root, smaller = new_folder(spark, "catalog"), new_folder(spark, "compacted")
@@ -942,6 +951,7 @@ QUERIES = {
     "catalog_types": catalog_types,
     "time_columns": time_columns,
     "stream_catalog": stream_catalog,
+    "stream_latest": stream_latest,
     "stream_remove_segment": stream_remove_segment,
     "stream_store": stream_store,
     "stream_route": stream_route,
