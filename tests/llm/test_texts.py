@@ -324,3 +324,16 @@ def test_flattened_trees_equal_a_walk():
                 node = 2 * node + 1 + int(x[i, feature[node]] > threshold[node])
             total += leaf[node - len(feature)]
         assert got[i] == pytest.approx(1 / (1 + np.exp(-total)))
+
+
+def test_each_rule_holds_its_keyword():
+    for rule in license_rules.rules():
+        certain = rule.pattern
+        while (shorter := re.sub(r"\(\?:[^()]*\)\??", "", certain)) != certain:
+            certain = shorter
+        assert f" {rule.keyword}" in f" {certain}", rule
+
+
+def test_unauthorized_copying_is_found_whatever_follows():
+    found = licenses.scan("Unauthorized copying of this file is strictly forbidden.")
+    assert "proprietary" in str(found)

@@ -144,7 +144,7 @@ SENTENCES = [
     ("bsd-2-clause", "opensource", "opensource org licenses bsd 2 clause"),
     ("proprietary", "reserved", "all rights reserved"),
     ("proprietary", "confidential", "proprietary and confidential"),
-    ("proprietary", "prohibited", "unauthorized (?:copying|reproduction|distribution) of this file"),
+    ("proprietary", "unauthorized", "unauthorized (?:copying|reproduction|distribution) of this file"),
     ("no-derivatives", "derivative", "no derivative works (?:are|may be) (?:permitted|made)"),
 ]
 
