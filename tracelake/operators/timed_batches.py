@@ -6,163 +6,123 @@ on where it began, so the rule is sequential; it is worked out in blocks of
 positions all the same:
 
 1. Every message of a block points to where a batch begun there would end, at most
-   ``batch_size`` positions on. Followed from the last position back, this says for
-   each of the first ``batch_size`` positions of a block, where alone a batch can
-   be the first to begin in it, at which of the next block the first one begins,
-   and how many begin in between.
+   ``batch_size`` positions on. Pointers are doubled until they leave the block. So
+   for each of its first ``batch_size`` positions, where alone a batch can be the
+   first to begin in it, it is known at which of the next block the first one begins.
 2. Such tables of neighbouring blocks are put together, first of many blocks, then
    of a stream, and the beginnings handed back down.
-3. Each block marks its batches from its known beginning.
+3. Each block follows its pointers from its known beginning, by powers of two.
 
-Only positions and times go through these steps, in groups of bounded size (numpy);
-messages are joined with what comes out. A stream of one key is thereby worked on
-by as many tasks as it has blocks.
+Only positions and times go through these steps, as arrays of bounded length; messages
+are joined with what comes out. A stream of one key is thereby worked on by as many
+tasks as it has blocks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracelake.operators.batching import PUBLISH_BATCH
-from tracelake.plans.joins import lookup_join, written
+from tracelake.plans.joins import written
 from tracelake.plans.ordered import running_max, running_number
 
 # Fixed value: how long a batch waits for more messages.
 PUBLISH_TIMEOUT_NS = 100_000_000
 # Positions of a block, and blocks that are put together in one group.
-BLOCK_POSITIONS = 1 << 16
-SUPER_BLOCKS = 1 << 10
+BLOCK_POSITIONS = 1 << 14
+SUPER_BLOCKS = 1 << 8
 # The clock before the first message that has a time.
 NO_TIME = -(1 << 62)
 
-_TABLE = "_stream string, _block bigint, exits array<int>, counts array<bigint>"
-_ENTRY = "_stream string, _block bigint, entry int, first_batch bigint"
-_MARKED = "_stream string, _place bigint, batch_no bigint, batch_pos bigint"
 
+def _pointers(blocked: DataFrame, batch_size: int, timeout_ns: int, block: int) -> DataFrame:
+    """Per block where a batch begun at each of its places ends, as places in the block.
 
-def _arrow(ddl: str) -> pa.Schema:
-    kinds = {
-        "string": pa.string(), "bigint": pa.int64(), "int": pa.int32(),
-        "array<int>": pa.list_(pa.int32()), "array<bigint>": pa.list_(pa.int64()),
-    }
-    return pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in ddl.split(", "))])
-
-
-def ends(at: np.ndarray, clock: np.ndarray, batch_size: int, timeout_ns: int) -> np.ndarray:
-    """For neighbouring positions, the index at which a batch begun there ends.
-
-    Indices past the last one mean that it ends where the positions do or later.
+    Places past the block's own, up to ``bound``, are of the next one.
     """
-    by_time = np.searchsorted(clock, clock + timeout_ns, "left")
-    return np.minimum(by_time, np.arange(len(at)) + batch_size)
-
-
-def exits_of(ends: np.ndarray, own: int, entries: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each possible first beginning, the first one past ``own`` and the number before it."""
-    exits = np.arange(len(ends) + 1)
-    counts = np.zeros(len(ends) + 1, np.int64)
-    following, exit_of, count_of = ends.tolist(), exits.tolist(), counts.tolist()
-    for k in range(own - 1, -1, -1):
-        after = following[k]
-        exit_of[k] = after if after >= own else exit_of[after]
-        count_of[k] = 1 if after >= own else count_of[after] + 1
-    first = np.minimum(np.arange(entries), len(ends))
-    return np.array(exit_of)[first] - own, np.array(count_of)[first]
-
-
-def _block_table(batch_size: int, timeout_ns: int, block: int):
-    def table(rows: pa.Table) -> pa.Table:
-        stream, number = rows["_stream"][0].as_py(), rows["_block"][0].as_py()
-        at, clock = _sorted(rows)
-        own = int(np.searchsorted(at, (number + 1) * block))
-        if own < block:
-            # the stream ends here: nothing begins after it
-            exits, counts = exits_of(ends(at, clock, batch_size, timeout_ns), own, batch_size)
-            exits = np.zeros_like(exits)
-        else:
-            exits, counts = exits_of(ends(at, clock, batch_size, timeout_ns), block, batch_size)
-        return pa.Table.from_pylist(
-            [{"_stream": stream, "_block": number, "exits": exits.tolist(), "counts": counts.tolist()}],
-            _arrow(_TABLE),
+    until = Window.partitionBy("_stream", "_block").orderBy("_clock").rangeBetween(
+        Window.unboundedPreceding, timeout_ns - 1
+    )
+    index = (F.col("_place") - F.col("_block") * block).cast("int")
+    ends = F.least(F.count(F.lit(1)).over(until).cast("int"), index + batch_size)
+    rows = F.array_sort(F.collect_list(F.struct("index", "ends")))
+    return (
+        blocked.select("_stream", "_block", index.alias("index"), ends.alias("ends"))
+        .groupBy("_stream", "_block").agg(rows.alias("rows"))
+        .select(
+            "_stream", "_block", F.transform("rows", lambda r: r["ends"]).alias("ends"),
+            F.least(F.size("rows"), F.lit(block)).alias("bound"),
         )
+    )
 
-    return table
 
+def _step(pointers: Column, bound: Column) -> Column:
+    """Pointers followed once more, unless they have left the block."""
+    return F.transform(pointers, lambda to: F.when(to >= bound, to).otherwise(F.get(pointers, to)))
 
-def _sorted(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    at, clock = rows["_place"].to_numpy(), rows["_clock"].to_numpy()
-    order = np.argsort(at)
-    return at[order], clock[order]
 
+def _held(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, not for each use."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
-def _together(tables: pa.Table) -> tuple[list[int], list[np.ndarray], list[np.ndarray]]:
-    numbers = tables["_block"].to_pylist()
-    order = np.argsort(numbers)
-    exits, counts = tables["exits"].to_pylist(), tables["counts"].to_pylist()
-    return [numbers[k] for k in order], [np.array(exits[k]) for k in order], [np.array(counts[k]) for k in order]
 
+def _exits(batch_size: int, block: int) -> Column:
+    """For each possible first beginning of a block that of the next one."""
+    bound = F.col("bound")
+    out = F.aggregate(
+        F.sequence(F.lit(1), F.lit(block.bit_length())), F.col("ends"), lambda to, _: _step(to, bound)
+    )
+    entries = F.sequence(F.lit(0), F.lit(batch_size - 1))
+    return _held(out, lambda to: F.transform(
+        entries, lambda k: F.when((k < bound) & (bound == block), F.get(to, k) - block).otherwise(F.lit(0))
+    ))
 
-def _super_table(tables: pa.Table) -> pa.Table:
+
+def _together(exits: Column, batch_size: int) -> Column:
     """The table of neighbouring blocks as of one."""
-    _, exits, counts = _together(tables)
-    at, total = np.arange(len(exits[0])), np.zeros(len(exits[0]), np.int64)
-    for exit_of, count_of in zip(exits, counts):
-        total = total + count_of[at]
-        at = exit_of[at]
-    row = {
-        "_stream": tables["_stream"][0].as_py(), "_block": tables["_super"][0].as_py(),
-        "exits": at.tolist(), "counts": total.tolist(),
-    }
-    return pa.Table.from_pylist([row], _arrow(_TABLE))
-
-
-def _thread(stream: str, tables: pa.Table, entry: int, batch: int) -> pa.Table:
+    return F.aggregate(
+        exits, F.sequence(F.lit(0), F.lit(batch_size - 1)),
+        lambda to, t: F.transform(to, lambda k: F.get(t["exits"], k)),
+    )
+
+
+def _threaded(tables: Column, entry: Column) -> Column:
     """Where the first batch of each block begins, from that of the first block."""
-    rows = []
-    for number, exit_of, count_of in zip(*_together(tables)):
-        rows.append({"_stream": stream, "_block": number, "entry": entry, "first_batch": batch})
-        entry, batch = int(exit_of[entry]), batch + int(count_of[entry])
-    return pa.Table.from_pylist(rows, _arrow(_ENTRY))
-
-
-def _thread_stream(tables: pa.Table) -> pa.Table:
-    return _thread(tables["_stream"][0].as_py(), tables, 0, 0)
-
-
-def _thread_super(tables: pa.Table) -> pa.Table:
-    return _thread(tables["_stream"][0].as_py(), tables, tables["entry"][0].as_py(), tables["first_batch"][0].as_py())
-
-
-def _marks(batch_size: int, timeout_ns: int, block: int):
-    def mark(rows: pa.Table) -> pa.Table:
-        stream, number = rows["_stream"][0].as_py(), rows["_block"][0].as_py()
-        at, clock = _sorted(rows)
-        own = int(np.searchsorted(at, (number + 1) * block))
-        following = ends(at, clock, batch_size, timeout_ns).tolist()
-        begins, k = [], rows["entry"][0].as_py()
-        while k < own:
-            begins.append(k)
-            k = following[k]
-        # a block holds its batches to the end; what is before the first is the last one's
-        reach = min(k, len(at))
-        begins = np.array(begins, np.int64)
-        index = np.arange(begins[0] if len(begins) else reach, reach)
-        mine = np.searchsorted(begins, index, "right") - 1
-        first = rows["first_batch"][0].as_py()
-        return pa.Table.from_arrays(
-            [
-                pa.array([stream] * len(index), pa.string()), pa.array(at[index], pa.int64()),
-                pa.array(first + mine, pa.int64()), pa.array(index - begins[mine], pa.int64()),
-            ],
-            schema=_arrow(_MARKED),
+    none = F.array().cast("array<struct<number: bigint, entry: int>>")
+    return F.aggregate(
+        tables, F.struct(entry.alias("entry"), none.alias("found")),
+        lambda held, t: F.struct(
+            F.get(t["exits"], held["entry"]).alias("entry"),
+            F.concat(
+                held["found"],
+                F.array(F.struct(t["number"].alias("number"), held["entry"].alias("entry"))),
+            ).alias("found"),
+        ),
+        lambda held: held["found"],
+    )
+
+
+def _begins(entry: Column, block: int) -> Column:
+    """The places of a block at which batches begin: its pointers followed k times, for all k."""
+    bound, rounds = F.col("bound"), block.bit_length()
+    levels = F.aggregate(
+        F.sequence(F.lit(1), F.lit(rounds - 1)), F.array("ends"),
+        lambda held, _: F.concat(held, F.array(_step(F.element_at(held, -1), bound))),
+    ) if rounds > 1 else F.array("ends")
+
+    def nth(levels: Column, k: Column) -> Column:
+        return F.aggregate(
+            F.sequence(F.lit(0), F.lit(rounds - 1)), entry,
+            lambda at, level: F.when(
+                (F.getbit(k, level) == 1) & (at < bound), F.get(F.get(levels, level), at)
+            ).otherwise(at),
         )
 
-    return mark
+    places = _held(levels, lambda held: F.transform(F.sequence(F.lit(0), bound - 1), lambda k: nth(held, k)))
+    return F.filter(places, lambda at: at < bound)
 
 
 def number_timed_batches(
@@ -180,8 +140,9 @@ def number_timed_batches(
     latest one before it. A message that arrives ``timeout_ns`` after the first one
     of a batch is in the next batch. Null keys are a stream like any other.
     """
-    if batch_size > BLOCK_POSITIONS:
-        raise ValueError(f"a batch holds at most {BLOCK_POSITIONS} messages")
+    block = BLOCK_POSITIONS
+    if batch_size > block:
+        raise ValueError(f"a batch holds at most {block} messages")
     if batch_size < 1 or timeout_ns < 1:
         raise ValueError("a batch takes a message and some time")
     if time is None:
@@ -189,25 +150,48 @@ def number_timed_batches(
     stream = F.to_json(F.struct(*[F.col(f"`{k}`") for k in stream_keys])) if stream_keys else F.lit("")
     narrow = log.select("seq", stream.alias("_stream"), time.alias("_time"))
     clocked = running_max(narrow, ["_stream"], F.coalesce("_time", F.lit(NO_TIME)), "_clock").drop("_time")
-    # each message is in its block, and the first ones of a block also in the one before
-    block = BLOCK_POSITIONS
     placed = written(running_number(clocked, ["_stream"], "_place"))
+    # each message is in its block, and the first ones of a block also in the one before
     own = F.floor(F.col("_place") / block).cast("bigint")
     early = (F.col("_place") % block < batch_size) & (own > 0)
     blocked = placed.select(
-        "_stream", "_place", "_clock", F.explode(F.when(early, F.array(own, own - 1)).otherwise(F.array(own))).alias("_block")
+        "_stream", "_place", "_clock",
+        F.explode(F.when(early, F.array(own, own - 1)).otherwise(F.array(own))).alias("_block"),
+    )
+    pointers = written(_pointers(blocked, batch_size, timeout_ns, block))
+    upper = F.floor(F.col("_block") / SUPER_BLOCKS).cast("bigint").alias("_super")
+    tables = F.array_sort(F.collect_list(F.struct(F.col("_block").alias("number"), "exits"))).alias("tables")
+    supers = written(
+        pointers.select("_stream", "_block", upper, _exits(batch_size, block).alias("exits"))
+        .groupBy("_stream", "_super").agg(tables)
+    )
+    of_stream = F.array_sort(F.collect_list(F.struct(F.col("_super").alias("number"), "exits")))
+    entries = (
+        supers.select("_stream", "_super", _together(F.col("tables"), batch_size).alias("exits"))
+        .groupBy("_stream").agg(of_stream.alias("tables"))
+        .select("_stream", F.inline(_threaded(F.col("tables"), F.lit(0))))
+        .withColumnRenamed("number", "_super")
+    )
+    handed = (
+        supers.join(entries, ["_stream", "_super"])
+        .select("_stream", F.inline(_threaded(F.col("tables"), F.col("entry"))))
+        .withColumnRenamed("number", "_block")
+    )
+    begins = (
+        pointers.join(handed, ["_stream", "_block"])
+        .select("_stream", "_block", F.explode(_begins(F.col("entry"), block)).alias("at"))
+        .select("_stream", (F.col("_block") * block + F.col("at")).alias("_place"), F.lit(1).alias("_begins"))
+    )
+    marked = written(
+        placed.select("seq", "_stream", "_place").join(begins, ["_stream", "_place"], "left")
+        .withColumn("_begins", F.coalesce("_begins", F.lit(0)))
     )
-    tables = written(
-        blocked.groupBy("_stream", "_block").applyInArrow(_block_table(batch_size, timeout_ns, block), _TABLE)
+    begun = running_max(
+        marked, ["_stream"], F.when(F.col("_begins") == 1, F.col("_place")), "_begun", seq="_place"
     )
-    upper = F.floor(F.col("_block") / SUPER_BLOCKS).cast("bigint")
-    supers = tables.withColumn("_super", upper).groupBy("_stream", "_super").applyInArrow(_super_table, _TABLE)
-    entries = supers.groupBy("_stream").applyInArrow(_thread_stream, _ENTRY).withColumnRenamed("_block", "_super")
-    held = tables.withColumn("_super", upper).join(entries, ["_stream", "_super"])
-    begins = held.groupBy("_stream", "_super").applyInArrow(_thread_super, _ENTRY)
-    marked = (
-        lookup_join(blocked, begins, ["_stream", "_block"], spread_by="_place", unique=True)
-        .groupBy("_stream", "_block").applyInArrow(_marks(batch_size, timeout_ns, block), _MARKED)
+    numbered = running_number(begun, ["_stream"], "_earlier", seq="_place", weight=F.col("_begins")).select(
+        "seq",
+        (F.col("_earlier") + F.col("_begins") - 1).alias("batch_no"),
+        (F.col("_place") - F.col("_begun")).alias("batch_pos"),
     )
-    numbered = placed.select("seq", "_stream", "_place").join(marked, ["_stream", "_place"])
-    return log.join(numbered.drop("_stream", "_place"), "seq")
+    return log.join(numbered, "seq")
