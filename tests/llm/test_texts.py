@@ -3,9 +3,11 @@
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -47,6 +49,21 @@ PAGES = {
     "unclosed advert": (f"<p class=ad>buy<p>{LONG}", LONG.strip()),
     "wrapped in a form": (page(f"<form><h1>H</h1><p>{LONG}</p></form>"), f"H\n\n{LONG.strip()}"),
     "only text": ("just   text &nbsp; here", "just text here"),
+    "teasers marked, body not": (
+        page(
+            f"<div><h1>Title</h1><p>{LONG}</p><p>{LONG}</p></div>"
+            "<article><p>Read this too.</p></article><article><p>And that.</p></article>"
+        ),
+        f"Title\n\n{LONG.strip()}\n\n{LONG.strip()}",
+    ),
+    "between two adverts": (
+        page(f"<div><p>{LONG}</p><div class=ad>Buy</div><p>He left at noon.</p><div class=ad>Buy</div><p>{LONG}</p></div>"),
+        f"{LONG.strip()}\n\nHe left at noon.\n\n{LONG.strip()}",
+    ),
+    "a reference over two texts": (f"<p>a &<b>amp;</b> b {LONG}", f"a &amp; b {LONG.strip()}"),
+    "text beside the mark": (
+        page(f"<article><h1>T</h1><p>{LONG}</p></article><div><p>Not part of it.</p></div>"), f"T\n\n{LONG.strip()}"
+    ),
     "empty": ("", ""),
     "only script": ("<script>alert(1)", ""),
 }
@@ -58,6 +75,49 @@ def test_main_text(name):
     assert html_text.main_text(html) == text
 
 
+def test_pages_without_their_marks():
+    """The windows find what the mark says where there is none."""
+    shared = want = got = 0
+    for html in pq.read_table("/root/testdata/sf0.01/pages.parquet").column("html").to_pylist():
+        marked = Counter(html_text.main_text(html).split())
+        bare = Counter(html_text.main_text(re.sub(r"</?article[^>]*>", "", html)).split())
+        shared += (marked & bare).total()
+        want += marked.total()
+        got += bare.total()
+    assert want and 2 * shared >= 0.95 * (want + got)
+
+
+def brute_main_text(lines):
+    """Windows summed one by one over (text, size, empty lines before)."""
+    rows = []
+    for text, size, empty in lines:
+        rows += [(None, 0)] * empty + ([(text, size)] if size else [])
+    rows = [(None, 0)] * 2 + rows + [(None, 0)] * 5
+    sums = [sum(size for _, size in rows[max(k - 2, 0) : k + 1]) for k in range(len(rows))]
+    need = max(min(86 * 8, (max(sums) + 1) // 2), 1)
+    kept, stretch, peak = [], [], 0
+    for (text, _), total in zip(rows, sums):
+        if total:
+            stretch += [text] if text is not None else []
+            peak = max(peak, total)
+        else:
+            kept += stretch if peak >= need else []
+            stretch, peak = [], 0
+    return "\n\n".join(kept)
+
+
+def test_windows_against_brute_force():
+    rng = random.Random(9)
+    for _ in range(300):
+        parts, want = [], []
+        for n in range(rng.randint(1, 12)):
+            text = "w" * rng.randint(1, 60)
+            cut = rng.random() < 0.4
+            parts.append(("<nav>x</nav>" if cut else "") + f"<p>{text}</p>")
+            want.append((text, 8 * len(text), 3 if cut and n else 0))
+        assert html_text.main_text("".join(parts)) == brute_main_text(want)
+
+
 def test_pages_with_nulls_and_clashing_columns(spark):
     rows = [(1, "u", PAGES["article"][0], "old"), (2, None, None, "old"), (None, "v", "", None), (1, "u", "<p>x", "o")]
     got = html_text.extract(pages(spark, rows)).select("page_id", "url", "text", "n_chars").collect()

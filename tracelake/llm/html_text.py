@@ -1,19 +1,23 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped into lines, one for each block. Elements that never hold the
-article (menus, forms, notices, ...) leave a gap of empty lines instead. Lengths
-of text are summed over windows of three lines; where the sum rises from nothing
-above a threshold the text surges, where it falls back to nothing it dives, and
-the lines between are kept. A line made mostly of links has no length. Where a
-page marks its article, only lines in it have a length and any text is a surge;
-elsewhere a surge needs 86 characters, or half of the page's largest sum if that
-is less.
-
+article (menus, forms, notices, ...) are left out. Lengths of text are summed over
+windows of three lines; where the sum rises from nothing above a threshold the text
+surges, where it falls back to nothing it dives, and the lines between are kept. This
+decides on every page; markup only weighs the lengths: a line made mostly of links has
+none, and where ``<article>`` or ``<main>`` is marked, lines on the unlikely side of the
+mark have an eighth. The mark is trusted where it holds the headline or half of the
+text that counts; otherwise it is taken for teasers of other articles. Empty lines part
+what lies on two sides of a mark, and what lies on two sides of something left out,
+unless both sides belong to one body: the same enclosing element, or the trusted mark.
+A surge needs 86 characters, or half of the page's largest sum if that is less.
+
+Character references are decoded in each piece of text between two tags by itself.
 Null and empty pages have an empty text. Markup that is broken or cut off is
 read as far as it goes: an element that is never closed ends with its parent,
 one that only its class or style rules out at the next block. Pages are read
-whole, in time linear in their length. Repeated rows are treated alike. An input
-column named like an output column is replaced.
+whole, in time linear in their length; an empty table gives an empty one. Repeated
+rows are treated alike. An input column named like an output column is replaced.
 """
 
 from __future__ import annotations
@@ -34,6 +38,8 @@ from tracelake.llm.common import ship, text_of, with_result
 
 WINDOW = 3
 SURGE = 86
+# What lies on the unlikely side of a mark counts for one part in so many.
+UNLIKELY = 8
 
 # Names of elements, roles and class words.
 BLOCKS = frozenset(
@@ -63,6 +69,11 @@ LISTS = frozenset(
     "comment comments commentlist disqus replies respond related recommended recommendations "
     "sidebar widget widgets".split()
 )
+# Left out, these end a body; other elements may stand in the middle of one.
+BODY_ENDS = frozenset("nav footer header head".split())
+CONTAINERS = frozenset(
+    "article aside blockquote body center dd details div dl figure li main ol section table td th ul".split()
+)
 CLASS_EXCEPTIONS = frozenset("has no not with without show hide".split())
 NEVER_DROPPED = frozenset("html body main".split())
 
@@ -82,7 +93,7 @@ class Tag:
     name: str
     starts: bool
     attributes: str
-    before: str  # text between the tag before and this one
+    before: str  # decoded text between the tag before and this one
     end: int = 0  # of a start tag: where the element ends
     closed: bool = False
 
@@ -92,14 +103,17 @@ class Line:
     text: str
     links: int
     in_article: bool
-    after_gap: bool
+    headline: bool
+    body: int  # the start tag of the element it stands in
+    gap: bool  # something was left out before it
+    parted: bool  # and it ended what was before
 
 
 def read_tags(page: str) -> list[Tag]:
     """The tags of a page in order, with the text before each; the last is the end."""
     tags, text, at = [], [], 0
     while m := TOKEN.search(page, at):
-        text.append(page[at : m.start()])
+        text.append(html.unescape(page[at : m.start()]))
         at = m.end()
         name = m["name"]
         if name is None:
@@ -110,7 +124,7 @@ def read_tags(page: str) -> list[Tag]:
         if name in RAW and not m["end"]:
             stop = re.compile(rf"</{re.escape(name)}\b", re.I).search(page, at)
             at = stop.start() if stop else len(page)
-    tags.append(Tag("", False, "", "".join([*text, page[at:]])))
+    tags.append(Tag("", False, "", "".join([*text, html.unescape(page[at:])])))
     _match(tags)
     return tags
 
@@ -167,6 +181,19 @@ def _ruled_out(tag: Tag, holds_article: bool) -> bool:
     return False
 
 
+def _ends_body(tag: Tag) -> bool:
+    """Whether an element that is left out also ends the text before it."""
+    if tag.name in BODY_ENDS:
+        return True
+    for m in ATTRIBUTE.finditer(tag.attributes):
+        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        if name == "role" and value.strip() in DROPPED_ROLES:
+            return True
+        if name in ("class", "id") and not LISTS.isdisjoint(re.split(r"[^a-z0-9]+", value)):
+            return True
+    return False
+
+
 def read_lines(page: str) -> list[Line]:
     """The blocks of a page outside of dropped elements."""
     tags = read_tags(page)
@@ -176,16 +203,19 @@ def read_lines(page: str) -> list[Line]:
     lines: list[Line] = []
     text: list[str] = []
     links = link_depth = 0
-    gap = False
+    gap = parted = False
     article_ends: list[int] = []
+    headline_end = -1
+    bodies: list[tuple[int, int]] = []  # the open containers: where each begins and ends
 
     def end_line() -> None:
-        nonlocal links, gap
-        line = " ".join(html.unescape("".join(text)).split())
+        nonlocal links, gap, parted
+        line = " ".join("".join(text).split())
         text.clear()
         if line:
-            lines.append(Line(line, links, bool(article_ends), gap))
-            gap = False
+            body = bodies[-1][0] if bodies else -1
+            lines.append(Line(line, links, bool(article_ends), k <= headline_end, body, gap, parted))
+            gap = parted = False
         links = 0
 
     k = 0
@@ -193,6 +223,8 @@ def read_lines(page: str) -> list[Line]:
         tag = tags[k]
         while article_ends and article_ends[-1] < k:
             article_ends.pop()
+        while bodies and bodies[-1][1] < k:
+            bodies.pop()
         if tag.before:
             text.append(tag.before)
             if link_depth:
@@ -204,6 +236,7 @@ def read_lines(page: str) -> list[Line]:
             if by_name or _ruled_out(tag, articles[tag.end] > articles[k + 1]):
                 end_line()
                 gap = True
+                parted |= _ends_body(tag)
                 k = _after(tags, k, by_name)
                 link_depth = 0
                 continue
@@ -215,6 +248,10 @@ def read_lines(page: str) -> list[Line]:
             link_depth = int(tag.starts)
         if tag.starts and tag.name in ("article", "main"):
             article_ends.append(tag.end)
+        if tag.starts and tag.name == "h1":
+            headline_end = max(headline_end, tag.end)
+        if tag.starts and tag.name in CONTAINERS and tag.name not in VOID:
+            bodies.append((k, tag.end))
         k += 1
     end_line()
     return lines
@@ -236,29 +273,53 @@ def _after(tags: list[Tag], k: int, by_name: bool) -> int:
     return stop
 
 
+def weighed(lines: list[Line]) -> tuple[list[int], bool]:
+    """The length of each line as far as it counts, and whether the mark is trusted."""
+    sizes = [len(line.text) if line.links * 2 <= len(line.text) else 0 for line in lines]
+    marked = sum(size for size, line in zip(sizes, lines) if line.in_article)
+    trusted = 2 * marked >= sum(sizes) or any(line.headline and line.in_article for line in lines)
+    if not any(line.in_article for line in lines):
+        return [size * UNLIKELY for size in sizes], False
+    if trusted:
+        # inside the article a list of links is part of it
+        return [
+            len(line.text) * UNLIKELY if line.in_article else size for size, line in zip(sizes, lines)
+        ], True
+    return [size * (1 if line.in_article else UNLIKELY) for size, line in zip(sizes, lines)], False
+
+
 def main_text(page: str) -> str:
     """The article's blocks, joined by empty lines."""
     lines = read_lines(page)
     if not lines:
         return ""
-    marked = any(line.in_article for line in lines)
+    sizes, trusted = weighed(lines)
     lengths, number = [], []
-    for k, line in enumerate(lines):
-        counts = line.in_article if marked else line.links * 2 <= len(line.text)
-        if line.after_gap or not counts:
-            lengths += [0] * WINDOW
-            number += [-1] * WINDOW
-        if counts:
-            lengths.append(len(line.text))
+    before = None
+    for k, (line, size) in enumerate(zip(lines, sizes)):
+        if before is None:
+            empty = 0
+        elif line.in_article != before.in_article or not size:
+            empty = WINDOW
+        elif line.in_article and trusted:
+            empty = 0
+        elif line.parted or line.gap and line.body != before.body:
+            empty = WINDOW
+        else:
+            empty = 0
+        lengths += [0] * empty
+        number += [-1] * empty
+        if size:
+            lengths.append(size)
             number.append(k)
+        before = line
     sums = np.convolve(np.array(lengths + [0] * WINDOW), np.ones(WINDOW, dtype=int))
-    largest = int(sums.max(initial=0))
-    surge = 1 if marked else min(SURGE, (largest + 1) // 2)
+    surge = max(min(SURGE * UNLIKELY, (int(sums.max(initial=0)) + 1) // 2), 1)
     # stretches of windows with text, from surge to dive
     filled = np.flatnonzero(np.diff(np.concatenate([[0], (sums > 0).astype(int), [0]])))
     kept = []
     for begin, dive in filled.reshape(-1, 2):
-        if sums[begin:dive].max() >= max(surge, 1):
+        if sums[begin:dive].max() >= surge:
             kept += [lines[k].text for k in number[begin:dive] if k >= 0]
     return "\n\n".join(kept)
 
