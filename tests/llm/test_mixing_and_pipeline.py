@@ -94,7 +94,7 @@ def test_query_equals_its_sql(spark, name):
 def test_registered_names():
     names = list(contract.queries())
     assert "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14))
 
 
 @needs_data

@@ -321,6 +321,57 @@ def test_languages_on_held_out_texts(spark):
     assert {r.lang_pred for r in unlabelled.collect()} == {"und"}
 
 
+def test_noise_is_rejected_and_languages_are_not(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = languages.fit(docs)
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    drawn = [
+        " ".join("".join(rng.choice(letters) for _ in range(rng.randint(3, 9))) for _ in range(rng.randint(5, 80)))
+        for _ in range(100)
+    ]
+    noise = spark.createDataFrame(list(enumerate(drawn)), "doc_id bigint, text string")
+    assert languages.identify(noise, model).where("rejected").count() >= 95
+    held = docs.where("crc32(cast(doc_id as string)) % 5 = 0")
+    found = languages.identify(held, model).agg(
+        F.avg(F.col("rejected").cast("int")), F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))
+    ).first()
+    assert found[0] <= 0.01 and found[1] >= 0.99
+
+
+def test_calibration_against_every_cut():
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        spoken, noise = rng.normal(0, 1, rng.integers(1, 40)), rng.normal(2, 1, rng.integers(1, 40))
+        cost = lambda cut: languages.REJECTED_COST * (spoken > cut).mean() + (noise <= cut).mean()
+        cuts = [*spoken, *noise]
+        assert cost(languages._bound(spoken, noise)) <= min(map(cost, cuts)) + 1e-9
+    assert languages._bound(spoken, noise[:0]) == np.inf
+    # the temperature is where the log loss is least, wherever that is
+    for true in (0.01, 1.0, 200.0):
+        raw = rng.normal(0, 3, (4000, 4)) * true
+        p = languages.softmax(raw[:, :3] / true)
+        target = np.array([rng.choice(3, p=row) for row in p])
+        assert 0.8 < languages.calibrate(raw, target)[0] / true < 1.25
+
+
+def test_logits_against_single_texts():
+    rng = np.random.default_rng(3)
+    weights, bias = rng.normal(size=(languages.BUCKETS, 3)), rng.normal(size=3)
+    texts = ["some words", "", "ΑΒΓ abc", "1 2", "x " * 30_000]
+    raw, _ = languages.logits(weights, bias, texts)
+    for k, text in enumerate(texts):
+        word_ends = [f"\0{w}\0" for w in re.findall(r"[^\W\d_]+", text.lower())]
+        count = sum(
+            len(w) - n + 1 - (2 if n == 1 else 0) for w in word_ends for n in range(1, 5) if len(w) >= n
+        )
+        found = languages.ngram_buckets([text])[0]
+        # a bare separator between words is no n-gram
+        assert len(found) <= count
+        want = weights[found].mean(axis=0) + bias if len(found) else bias
+        assert np.allclose(raw[k], want)
+
+
 def test_a_small_language_stays_in_the_sample(spark, monkeypatch):
     monkeypatch.setattr(languages, "ROWS_PER_LANGUAGE", 100)
     monkeypatch.setattr(languages, "MAX_ROWS", 1000)

@@ -2,15 +2,17 @@
 
 A text is the average of the embeddings of its hashed character n-grams (one to
 four characters, inside words with their ends marked); a linear softmax on the
-average gives the languages. Both layers are trained together by stochastic
-gradient descent in numpy on a bounded sample of labelled rows. A held-back part
-of the sample fixes the temperature of the probabilities and the confidence
-below which a text is rejected.
+average gives the languages, and beside them one score for noise. Both layers are
+trained together by stochastic gradient descent in numpy on a bounded sample of
+labelled rows. Noise is learnt from the same rows: their letters shuffled, letters drawn
+evenly from theirs, and n-grams never seen. A held-back part of the sample fixes the
+temperature of the probabilities, and, against its own letters shuffled or drawn, how
+much likelier than any language noise has to be for a text to be rejected.
 
 Nulls, empty texts and texts without a letter get ``und`` with score 0 and are
-rejected. Repeated rows are predicted alike. Without any labelled row nothing
-is known and every text is ``und``. An input column named like an output column
-is replaced.
+rejected. Very long texts are averaged whole. Repeated rows are predicted alike. Without
+any labelled row, as in an empty table, nothing is known and every text is ``und``. An
+input column named like an output column is replaced.
 """
 
 from __future__ import annotations
@@ -44,16 +46,15 @@ UNKNOWN = "und"
 # and fewer of each where that would be more than about so many in all.
 ROWS_PER_LANGUAGE = 1000
 MAX_ROWS = 10_000
+# Words of the stretches that are learnt from a text of the sample, its bound in words;
+# held-back texts are whole, and so are texts that are predicted.
 PIECE_WORDS = (3, 6, 15, 40)
 BUCKETS = 1 << 15
 WIDTH = 8
 EPOCHS = 3
 RATE = 0.5
-# Share of correctly predicted texts of the held-back part that may be rejected.
-REJECTED_SHARE = 0.001
-# The confidence to reject below is never above this: a text in two languages, each
-# known, has about one half and is no reason to reject it.
-MOST_LEAST = 0.4
+# A text of a language that is rejected is as bad as this many of noise that are not.
+REJECTED_COST = 20
 SEED = 7
 
 RESULT = "struct<lang_pred: string, score: double, rejected: boolean>"
@@ -62,10 +63,10 @@ RESULT = "struct<lang_pred: string, score: double, rejected: boolean>"
 @dataclass(frozen=True)
 class LanguageModel:
     languages: list[str]
-    weights: np.ndarray  # a row of language scores for each bucket
+    weights: np.ndarray  # a row for each bucket: the languages' scores, then that of noise
     bias: np.ndarray
     temperature: float
-    least: float
+    most_noise: float  # of noise's score less the best language's
 
 
 def ngram_buckets(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -168,23 +169,26 @@ def sample(docs: DataFrame) -> DataFrame:
             for name, lang, text in zip(*(batch.column(c) for c in ("_id", "_lang", "_text"))):
                 name, text = name.as_py(), text.as_py() or ""
                 held = zlib.crc32(f"held {name}".encode()) % 5 == 0
-                found = list(bags([text] if held else pieces(name, text)))
+                parts = [text, *pieces(name, text)] if held else pieces(name, text)
+                found = [(False, *bag) for bag in bags(parts)]
+                found += [(True, *bag) for bag in noise(name, parts, held)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([name] * len(found), pa.string()),
                         pa.array([lang.as_py()] * len(found), pa.string()),
                         pa.array([held] * len(found), pa.bool_()),
+                        pa.array([n for n, _, _ in found], pa.bool_()),
                         pa.array(range(len(found)), pa.int32()),
-                        pa.array([b.astype(np.int32) for b, _ in found], pa.list_(pa.int32())),
-                        pa.array([c.astype(np.float32) for _, c in found], pa.list_(pa.float32())),
+                        pa.array([b.astype(np.int32) for _, b, _ in found], pa.list_(pa.int32())),
+                        pa.array([c.astype(np.float32) for _, _, c in found], pa.list_(pa.float32())),
                     ],
-                    names=["id", "lang", "held", "piece", "buckets", "counts"],
+                    names=["id", "lang", "held", "noise", "piece", "buckets", "counts"],
                 )
 
     # about MAX_ROWS ids at most, so the broadcast is bounded
     return rows.join(F.broadcast(picked), "_id").select("_id", "_lang", "_text").mapInArrow(
         to_bags,
-        "id string, lang string, held boolean, piece int, buckets array<int>, counts array<float>",
+        "id string, lang string, held boolean, noise boolean, piece int, buckets array<int>, counts array<float>",
     )
 
 
@@ -200,6 +204,28 @@ def pieces(name: str, text: str) -> list[str]:
     return [" ".join(words[i : i + n]) for n, i in starts]
 
 
+def noise(name: str, parts: list[str], held: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Bags of n-grams that no language has, made of the letters of some parts of a text.
+
+    Of each other part the letters are shuffled, of the rest they are drawn evenly from
+    all letters there; in training, the bag of the shortest part is spread over buckets
+    at random, as n-grams never seen are.
+    """
+    rng = np.random.default_rng(zlib.crc32(f"noise {name}".encode()))
+    # of held-back texts the whole text is left to the languages
+    for k, part in enumerate(parts[1:] if held else parts):
+        codes = np.frombuffer(part.encode("utf-32-le", "replace"), dtype=np.uint32).copy()
+        places = np.flatnonzero(letter_table()[codes])
+        if not len(places):
+            continue
+        letters = codes[places]
+        codes[places] = rng.permutation(letters) if k % 2 else rng.choice(np.unique(letters), len(letters))
+        found = ngram_buckets([codes.tobytes().decode("utf-32-le")])[0]
+        if not k and not held:
+            found = rng.integers(0, BUCKETS, len(found))
+        yield np.unique(found, return_counts=True)
+
+
 def fit(docs: DataFrame) -> LanguageModel:
     """Train on about ``MAX_ROWS`` rows at most (ids may repeat) of ``docs``."""
     rows = sample(docs).toArrow().sort_by([(c, "ascending") for c in ("id", "lang", "piece")])
@@ -207,10 +233,11 @@ def fit(docs: DataFrame) -> LanguageModel:
     lang = rows.column("lang").to_pylist()
     languages = sorted(set(lang))
     if not languages:
-        return LanguageModel([], np.zeros((BUCKETS, 1)), np.zeros(1), 1.0, 0.0)
+        return LanguageModel([], np.zeros((BUCKETS, 1)), np.zeros(1), 1.0, np.inf)
     rng = np.random.default_rng(SEED)
     number = {lang: k for k, lang in enumerate(languages)}
-    target = np.array([number[name] for name in lang])
+    classes = len(languages) + 1  # the last is noise
+    target = np.where(rows.column("noise"), len(languages), [number[name] for name in lang])
     is_held = np.array(rows.column("held"))
     # views into the columns; the sample is never turned into objects
     buckets_of, counts_of = (
@@ -219,10 +246,10 @@ def fit(docs: DataFrame) -> LanguageModel:
     )
     held, train = np.flatnonzero(is_held), np.flatnonzero(~is_held)
     table = rng.normal(0, 0.1, (BUCKETS, WIDTH))
-    linear = rng.normal(0, 0.1, (WIDTH, len(languages)))
-    bias = np.zeros(len(languages))
-    seen = np.bincount(target[train], minlength=len(languages))
-    weight = np.minimum(len(train) / (len(languages) * np.maximum(seen, 1)), 4.0)
+    linear = rng.normal(0, 0.1, (WIDTH, classes))
+    bias = np.zeros(classes)
+    seen = np.bincount(target[train], minlength=classes)
+    weight = np.minimum(len(train) / (classes * np.maximum(seen, 1)), 4.0)
     done, all_steps = 0, EPOCHS * max(len(train), 1)
     for _ in range(EPOCHS):
         for i in rng.permutation(train):
@@ -241,7 +268,7 @@ def fit(docs: DataFrame) -> LanguageModel:
             table[buckets] -= np.outer(share, back)
     weights = table @ linear
     if not len(held):
-        return LanguageModel(languages, weights, bias, 1.0, 0.0)
+        return LanguageModel(languages, weights, bias, 1.0, np.inf)
     raw = np.stack(
         [counts_of[i] / counts_of[i].sum() @ weights[buckets_of[i]] + bias for i in held]
     )
@@ -249,16 +276,38 @@ def fit(docs: DataFrame) -> LanguageModel:
 
 
 def calibrate(raw: np.ndarray, target: np.ndarray) -> tuple[float, float]:
-    """The temperature of the least log loss, and the confidence to reject below."""
-    best = (np.inf, 1.0)
-    for temperature in np.geomspace(0.05, 20, 60):
-        p = softmax(raw / temperature)[np.arange(len(target)), target]
-        best = min(best, (float(-np.log(np.maximum(p, 1e-9)).mean()), float(temperature)))
-    p = softmax(raw / best[1])
-    right = p.argmax(axis=1) == target
-    if not right.any():
-        return best[1], 0.0
-    return best[1], float(min(np.quantile(p.max(axis=1)[right], REJECTED_SHARE), MOST_LEAST))
+    """The temperature of the least log loss, and how much likelier noise may be.
+
+    Noise is the last class. The bound is the middle of the range in which texts
+    rejected wrongly and noise kept cost least.
+    """
+    is_noise = target == raw.shape[1] - 1
+    spoken, names = raw[~is_noise, :-1], target[~is_noise]
+
+    def loss(power: float) -> float:
+        p = softmax(spoken / np.exp(power))[np.arange(len(names)), names]
+        return float(-np.log(np.maximum(p, 1e-12)).mean())
+
+    power, step = 0.0, 4.0
+    while len(names) and step > 0.01:
+        # steps are halved around the best so far, so no grid bounds it
+        best = min((power - step, power, power + step), key=loss)
+        power, step = (best, step / 2) if best == power else (best, step)
+        if abs(power) > 40:
+            break  # all right or all wrong at any temperature
+    excess = raw[:, -1] - raw[:, :-1].max(axis=1)
+    return float(np.exp(power)), _bound(excess[~is_noise], excess[is_noise])
+
+
+def _bound(spoken: np.ndarray, noise_: np.ndarray) -> float:
+    """The bound on noise's excess between texts of languages and noise."""
+    if not len(spoken) or not len(noise_):
+        return float("inf")
+    cuts = np.unique(np.concatenate([spoken, noise_]))
+    rejected = 1 - np.searchsorted(np.sort(spoken), cuts, "right") / len(spoken)
+    kept = np.searchsorted(np.sort(noise_), cuts, "right") / len(noise_)
+    best = int(np.argmin(REJECTED_COST * rejected + kept))
+    return float((cuts[best] + cuts[min(best + 1, len(cuts) - 1)]) / 2)
 
 
 def language_of(model: LanguageModel, spark) -> "callable":
@@ -277,13 +326,14 @@ def language_of(model: LanguageModel, spark) -> "callable":
                     rejected += [True] * len(part)
                     continue
                 raw, has_letter = logits(known.weights, known.bias, part)
-                p = softmax(raw / known.temperature)
+                p = softmax(raw[:, :-1] / known.temperature)
                 best = p.argmax(axis=1)
                 top = p.max(axis=1)
-                for ok, k, s in zip(has_letter.tolist(), best.tolist(), top.tolist()):
+                noisy = raw[:, -1] - raw[:, :-1].max(axis=1) > known.most_noise
+                for ok, k, s, n in zip(has_letter.tolist(), best.tolist(), top.tolist(), noisy.tolist()):
                     names.append(known.languages[k] if ok else UNKNOWN)
                     scores.append(s if ok else 0.0)
-                    rejected.append(not ok or s < known.least)
+                    rejected.append(not ok or n)
             yield struct_array([
                 ("lang_pred", pa.array(names, pa.string())),
                 ("score", pa.array(scores, pa.float64())),
