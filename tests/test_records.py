@@ -160,6 +160,58 @@ def test_wide_table_refuses_mixed_types(spark):
         samples.message_columns(catalog.fold(log), "e")
 
 
+def mixed_log(spark):
+    return log_of(spark, [
+        schema(1, SEG_A, "e", [("a", "int8"), ("seq", "bool"), ("b", "float64")]),
+        schema(2, SEG_B, "e", [("a", "bool"), ("B", "string")]),
+        schema(3, SEG_B, "f", [("c", "int64")]),
+        event(10, SEG_A, 5, "e", [("a", "int8", 2), ("seq", "bool", True), ("b", "float64", 0.5)]),
+        event(11, SEG_A, 6, "e", [("a", "bool", True), ("c", "int64", 4)]),
+        event(12, SEG_B, 7, "e", [("a", "bool", False), ("B", "string", "x"), ("b", "float64", 1.0)]),
+        event(13, SEG_B, 8, "f", [("c", "int64", 9), ("c", "int64", 10)]),
+        event(14, SEG_A, 9, "f", [("c", "int64", 1)]),
+        event(15, SEG_B, 9, "f", []),
+    ])
+
+
+MIXED = {
+    10: {"a:int8": 2, "seq:bool": True, "b:float64": 0.5},
+    11: {},
+    12: {"a:bool": False, "B:string": "x"},
+    13: {"c": 10},
+    15: {},
+}
+
+
+def test_all_wide_tables_keep_types_apart(spark, tmp_path):
+    log = mixed_log(spark)
+    wide = samples.wide_tables(log, catalog.fold(log))
+    fixed = {"seq", "time_ns", *samples.WIDE_KEYS}
+    filled = lambda rows: {
+        r.seq: {c: v for c, v in r.asDict().items() if c not in fixed and v is not None} for r in rows
+    }
+    assert filled(wide.collect()) == MIXED
+    path = str(tmp_path / "tables")
+    samples.write_wide_tables(wide, path)
+    stored = spark.read.parquet(path)
+    assert filled(stored.collect()) == MIXED and dict(stored.dtypes)["a:int8"] == "tinyint"
+    one = spark.read.parquet(f"{path}/segment_id={SEG_B}/source=src/message=f")
+    assert sorted(r.seq for r in one.collect()) == [13, 15]
+    nothing = samples.wide_tables(log, catalog.fold(log.where("kind = 'event'")))
+    assert nothing.count() == 0
+
+
+def test_all_wide_tables_equal_each_alone(spark, no_broadcast):
+    log = log_of(spark, sample_messages())
+    folded = catalog.fold(log)
+    wide = samples.wide_tables(log, folded).where((F.col("message") == "e") & (F.col("segment_id") == SEG_A))
+    alone = samples.wide_events(log, "e", samples.message_columns(folded, "e", SEG_A)).where(
+        F.col("segment_id") == SEG_A
+    )
+    columns = alone.columns
+    assert sorted(map(repr, wide.select(columns).collect())) == sorted(map(repr, alone.collect()))
+
+
 def test_samples_of_keys(spark):
     log = log_of(spark, sample_messages())
     keys = signals.parse_keys(spark.createDataFrame([("*/src/e.b",)], "signal_key string"))

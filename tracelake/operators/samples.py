@@ -137,6 +137,80 @@ def wide_events(log: DataFrame, message: str, columns: Sequence[tuple[str, str]]
     )
 
 
+WIDE_KEYS = ("segment_id", "source", "message")
+
+
+def wide_columns(catalog: Catalog) -> list[tuple[str, str, str]]:
+    """``[(column, field, data_type)]`` of all messages, for :func:`wide_tables`.
+
+    A column for each field and type declared anywhere, so their number is bounded by
+    the declarations and not by the events. It is named after the field; where another
+    type, a key or a name that differs in case has that name, the type follows.
+    """
+    found = (
+        catalog.event_fields.where("is_first")
+        .select("field_name", "data_type").distinct()
+        .orderBy("field_name", "data_type").collect()
+    )
+    plain = [r["field_name"].lower() for r in found] + ["seq", "time_ns", *WIDE_KEYS]
+    taken = {name for name in plain if plain.count(name) > 1 or name in ("seq", "time_ns", *WIDE_KEYS)}
+    columns = []
+    for field, data_type in found:
+        column = field
+        while column.lower() in taken:
+            column += f":{data_type}"
+        taken.add(column.lower())
+        columns.append((column, field, data_type))
+    return columns
+
+
+def wide_tables(
+    log: DataFrame, catalog: Catalog, columns: Sequence[tuple[str, str, str]] | None = None
+) -> DataFrame:
+    """The stored tables of all messages in one pass over the events.
+
+    ``seq, time_ns``, the keys of the table, and the columns of :func:`wide_columns`. A
+    row fills those its own segment declares for its message, with a value whose tag is
+    the declared type; the others are null. Fields with several types in several
+    segments are kept apart. A message without a schema has no table.
+    """
+    if columns is None:
+        columns = wide_columns(catalog)
+    declared = (
+        catalog.event_fields.where("is_first")
+        .groupBy("segment_id", F.col("event_name").alias("message"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("field_name", "data_type"))).alias("_types"))
+    )
+    events = log.where(F.col("kind") == EVENT).select(
+        "seq", "segment_id",
+        F.col("source_name").alias("source"),
+        F.col("event.time_ns").alias("time_ns"),
+        F.col("event.name").alias("message"),
+        F.col("event.fields").alias("_fields"),
+    )
+    return lookup_join(events, declared, ["segment_id", "message"]).select(
+        "seq", "time_ns", *WIDE_KEYS,
+        *[
+            F.when(
+                F.try_element_at("_types", F.lit(field)) == data_type,
+                as_type(value_of(F.col("_fields"), F.lit(field)), data_type),
+            ).alias(column)
+            for column, field, data_type in columns
+        ],
+    )
+
+
+def write_wide_tables(wide: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Store :func:`wide_tables` partitioned by segment, source and message.
+
+    The rows of a table are brought together before; a table too large for one task is
+    split and small ones share a task, by the sizes seen at run time. An empty name is
+    read back as null.
+    """
+    together = wide.hint("rebalance", *[F.col(key) for key in WIDE_KEYS])
+    together.write.partitionBy(*WIDE_KEYS).parquet(path, mode=mode)
+
+
 def signal_samples(log: DataFrame, resolved: DataFrame) -> DataFrame:
     """Samples of resolved signals: (key_string, time_ns, value) (C4).
 

@@ -486,6 +486,20 @@ WHERE s.signal = 'state'
 SELECT seq, segment_id, source_name AS source, time_ns, value, user_id,
        CASE WHEN event_id % 10 <> 0 THEN event_id % 4 END AS state
 FROM ev WHERE event_type = 'error'
+"""),
+    "wide_tables": _with("""
+, typed AS (
+  SELECT t.seq, t.signal, t.f, t.i FROM samples t JOIN cat_fields c
+    ON c.segment_id = t.segment_id AND c.event_name = t.message
+   AND c.field_name = t.signal AND c.data_type = t.tag
+)
+SELECT ev.seq, ev.segment_id, source_name AS source, ev.time_ns, event_type AS message,
+       max(t.f) FILTER (t.signal = 'value') AS value,
+       max(t.i) FILTER (t.signal = 'user_id') AS user_id,
+       max(t.i) FILTER (t.signal = 'state') AS state
+FROM ev JOIN cat_schemas c ON c.segment_id = ev.segment_id AND c.event_name = event_type
+LEFT JOIN typed t ON t.seq = ev.seq
+GROUP BY ALL
 """),
     "signal_samples": _with("""
 , wanted(segment_id, source, message, signal) AS (

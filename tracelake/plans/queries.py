@@ -384,6 +384,11 @@ def wide_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     return samples.wide_events(log, "error", columns).withColumn("state", _big("state"))
 
 
+def wide_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = sample_log(spark, sf_dir)
+    return samples.wide_tables(log, catalog.fold(log)).withColumn("state", _big("state"))
+
+
 def signal_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = sample_log(spark, sf_dir)
     texts = spark.createDataFrame(
@@ -926,6 +931,7 @@ QUERIES = {
     "latest_values": latest_values,
     "decoded_states": decoded_states,
     "wide_event": wide_event,
+    "wide_tables": wide_tables,
     "signal_samples": signal_samples,
     "conformance": conformance_counts,
     "conforming_events": conforming_events,
