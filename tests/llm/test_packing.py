@@ -222,3 +222,10 @@ def test_min_hashes_of_sets_follow_their_weights():
     same = np.mean([r[a].min() == r[b].min() for r in ranks])
     assert abs(same - statistics.idf[a].sum() / statistics.idf[b].sum()) < 0.12
     assert all(sorted(r.tolist()) == list(range(300)) for r in ranks[:3])
+
+
+def test_blanks_at_the_end_of_a_lowered_text(tokenizer):
+    with open(PATH, encoding="utf-8") as file:
+        encoder = p.Encoder(file.read())
+    for text in ("½\t", "ab\t", "AB\n", "é ", "x y\v"):
+        assert encoder(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)

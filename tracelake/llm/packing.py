@@ -157,7 +157,9 @@ class Encoder:
             )
 
     def _latin(self, texts: pa.Array) -> Iterator[np.ndarray]:
-        cut = pc.utf8_split_whitespace(pc.utf8_lower(texts))
+        # Latin texts have no other white space; the split by Unicode's misses blanks at
+        # the end of what utf8_lower returns
+        cut = pc.ascii_split_whitespace(pc.utf8_lower(texts))
         numbered = cut.values.dictionary_encode()
         found = self._words.all(numbered.dictionary.to_numpy(zero_copy_only=False).tolist())
         lengths = np.fromiter(map(len, found), np.int32, len(found)) // self.dtype.itemsize
