@@ -3,6 +3,7 @@
 from collections import Counter
 from decimal import Decimal
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -526,3 +527,32 @@ def test_rows_of_one_stream_and_number_have_numbers_of_their_own(spark):
     got = numbered(spark, [("a", 1, [one, one]), ("a", 1, [one, one]), ("a", 1, [one]), ("a", 0, [one])])
     assert [g[0] for g in got] == list(range(6)) and got[0][2] == 0
     assert sorted(g[3] for g in got[1:]) == [0, 0, 0, 1, 1]
+
+
+def test_wire_batches_are_never_held_many_at_a_time(spark):
+    class Caught:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, function, ddl):
+            return function
+
+    message = b"\x0a\x15" + b"\x0a\x10" + RAW_A + b"\x3a\x01s"
+    part = pa.RecordBatch.from_pylist([{"stream_id": "a", "batch_no": k, "payload": message * 1000} for k in range(20)])
+    parts = list(wire.decode_batches(Caught())(iter([part])))
+    assert sum(len(m) for p in parts for m in p.column("trace_messages").to_pylist()) == 20_000
+    assert max(sum(map(len, p.column("trace_messages").to_pylist())) for p in parts) <= wire.STEP_MESSAGES
+    # and they are stored a message a row
+    df = spark.createDataFrame([("a", 1, [GOOD, GOOD]), ("a", 0, [GOOD])], BATCH_DDL)
+    flat = batches.flatten_batches(df)
+    assert all("trace_messages" not in spark.read.parquet(f).columns for f in flat.inputFiles())
+    assert sorted((r.seq, r.batch_no, r.pos) for r in flat.collect()) == [(0, 0, 0), (1, 1, 0), (2, 1, 1)]
+
+
+def test_messages_encoded_one_by_one_are_the_same_bytes(spark):
+    log = log_of(spark, [m for m in random_log(5, 80) if m[0] < 500]).withColumn("source_name", F.lit("src"))
+    numbered = batching.number_batches(log, ["source_name"], 7)
+    want = wire.encode_batches(batching.gather_batches(numbered, ["source_name"]))
+    got = wire.encode_messages(numbered, ["source_name"])
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))

@@ -609,8 +609,7 @@ def subscriber_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def wire_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log as serialized batches and back, in the layout of ``emit_rows``."""
     numbered = batching.number_batches(sample_log(spark, sf_dir), ["source_name"])
-    packed = batching.gather_batches(numbered, ["source_name"])
-    payloads = wire.encode_batches(packed).select(
+    payloads = wire.encode_messages(numbered, ["source_name"]).select(
         F.col("source_name").alias("stream_id"), "batch_no", "payload"
     )
     checked = batches.check_messages(batches.flatten_batches(wire.decode_batches(payloads)))

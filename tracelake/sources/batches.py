@@ -51,8 +51,9 @@ def flatten_batches(batches: DataFrame, first_seq: int = 0) -> DataFrame:
     read. A batch that could not be decoded (``decode_error``) or has no number is
     one message without content, so that it is quarantined and counted.
 
-    The batches are stored once, so that decoding them is not repeated; they are
-    numbered by narrow rows with an id of their own.
+    Messages are stored once, each a row, so that decoding is not repeated and no
+    reader holds many batches; batches are numbered by narrow rows, those of their
+    first messages, with an id of their own.
     """
     if "decode_error" not in batches.columns:
         batches = batches.withColumn("decode_error", F.lit(None).cast("string"))
@@ -66,25 +67,24 @@ def flatten_batches(batches: DataFrame, first_seq: int = 0) -> DataFrame:
             F.when(F.col("decode_error").isNotNull(), nothing).otherwise(F.col("trace_messages")),
         )
         .withColumns({
-            "_size": F.greatest(F.size("trace_messages"), F.lit(0)).cast("bigint"),
+            "_size": F.size("trace_messages").cast("bigint"),
             "_row": F.monotonically_increasing_id(),
         })
+        .select(
+            "stream_id", "batch_no", "decode_error", "_size", "_row",
+            F.posexplode("trace_messages").alias("pos", "message"),
+        )
     )
-    narrow = held.select(
+    narrow = held.where("pos = 0").select(
         "_row", "_size", F.coalesce("batch_no", F.lit(_UNNUMBERED)).alias("_order"),
         F.struct("stream_id", "_row").alias("_tie"),
     )
     begins = running_number(
         narrow, [], "_begin", seq="_order", tie="_tie", weight=F.col("_size")
     ).select("_row", "_begin")
-    numbered = lookup_join(held, begins, ["_row"], spread_by="_row", unique=True)
-    return (
-        numbered.select(
-            "stream_id", "batch_no", "decode_error", "_begin",
-            F.posexplode("trace_messages").alias("pos", "message"),
-        )
-        .withColumn("seq", F.col("_begin") + F.col("pos") + F.lit(first_seq))
-        .select("seq", "stream_id", "batch_no", "pos", "decode_error", "message.*")
+    numbered = lookup_join(held, begins, ["_row"], spread_by="pos")
+    return numbered.withColumn("seq", F.col("_begin") + F.col("pos") + F.lit(first_seq)).select(
+        "seq", "stream_id", "batch_no", "pos", "decode_error", "message.*"
     )
 
 
