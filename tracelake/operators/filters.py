@@ -171,7 +171,8 @@ def route(
     log if they are needed, are computed while the plan is built.
     """
     side = filters if isinstance(filters, Settled) else settle_filters(filters)
-    keys = [*_KEYS, *also_on]
+    # what differs most comes first: sorting for a join looks at the first key before all
+    keys = [*also_on, *_KEYS]
     if side.broadcastable and _shapes(side.df):
         keyed = _keyed_in_place(log, side.df)
         if narrowed is not None:

@@ -59,7 +59,7 @@ def route_subscriptions(log: DataFrame, commands: DataFrame) -> DataFrame:
         probed = messages.withColumn("_node", F.explode(nodes))
         return probed.withColumns({"_level": F.col("_node.level"), "_number": F.col("_node.number")}).drop("_node")
 
-    return route(log, filters, narrowed=with_nodes, also_on=["_level", "_number"])
+    return route(log, filters, narrowed=with_nodes, also_on=["_number", "_level"])
 
 
 def replay_from(log: DataFrame, start_time_ns: int | None) -> DataFrame:

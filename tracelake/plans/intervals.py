@@ -45,50 +45,21 @@ def _number(seq: Column, tree: Tree) -> Column:
     return at - F.lit(tree.low)
 
 
-def nodes_of_interval(after: Column, before: Column, tree: Tree) -> Column:
-    """The nodes that cover the numbers above ``after`` and below ``before``.
-
-    A null ``before`` has no end; an empty interval has no node.
-    """
-    low = _number(after, tree) + 1
-    high = F.when(before.isNotNull(), _number(before, tree)).otherwise(F.lit(tree.last + 1))
-    parts = []
-    for level in range(tree.levels + 1):
-        begin, end = _above(low, level), _below(high, level)
-        begin_up, end_up = _above(low, level + 1), _below(high, level + 1)
-        wide = begin_up <= end_up
-        left_end = F.when(wide, F.shiftleft(begin_up, BITS)).otherwise(end)
-        parts.append(_nodes(level, begin, left_end))
-        parts.append(F.when(wide, _nodes(level, F.shiftleft(end_up, BITS), end)).otherwise(_no_nodes()))
-    return F.when(low < high, F.concat(*parts)).otherwise(_no_nodes())
-
-
-def _above(number: Column, level: int) -> Column:
+def _above(number: Column, level: Column) -> Column:
     """The first node of a level that begins at a number or after it."""
     return _open(number - 1, level) + 1
 
 
-def _below(number: Column, level: int) -> Column:
+def _below(number: Column, level: Column) -> Column:
     """The node of a level that holds the number: the first one not to end before it."""
     return _open(number, level)
 
 
-def _open(number: Column, level: int) -> Column:
-    # a shift by 64 would be none
-    return F.shiftright(number, min(BITS * level, 63))
-
-
-def _no_nodes() -> Column:
-    return F.array().cast("array<struct<level: int, number: bigint>>")
-
-
-def _nodes(level: int, begin: Column, end: Column) -> Column:
-    """Nodes from ``begin`` up to, not including, ``end``."""
-    found = F.transform(
-        F.sequence(begin, end - 1),
-        lambda n: F.struct(F.lit(level).alias("level"), n.alias("number")),
-    )
-    return F.when(begin < end, found).otherwise(_no_nodes())
+def _open(number: Column, level: Column | int) -> Column:
+    if isinstance(level, int):
+        # a shift by 64 would be none
+        return F.shiftright(number, min(BITS * level, 63))
+    return F.call_function("shiftright", number, F.least(level * BITS, F.lit(63)))
 
 
 def nodes_of_number(seq: Column, tree: Tree, levels: list[int]) -> Column:
@@ -101,13 +72,43 @@ def nodes_of_number(seq: Column, tree: Tree, levels: list[int]) -> Column:
 
 
 def cut(intervals: DataFrame, after: str, before: str) -> tuple[DataFrame, Tree]:
-    """One row per node of each interval, with ``_level`` and ``_number``."""
+    """One row per node of each interval, with ``_level`` and ``_number``.
+
+    The nodes cover the numbers above ``after`` and below ``before``. A null ``before``
+    has no end; an empty interval has no node. Only levels are gone through whose
+    nodes are not wider than the interval.
+    """
     edges = intervals.agg(
         F.min(after).alias("low"), F.max(F.greatest(after, before)).alias("high")
     ).first()
     tree = tree_over(edges["low"], edges["high"])
-    nodes = nodes_of_interval(F.col(after), F.col(before), tree)
-    pieces = intervals.withColumn("_node", F.explode(nodes))
-    return pieces.select("*", "_node.*").drop("_node").withColumnsRenamed(
-        {"level": "_level", "number": "_number"}
-    ), tree
+    low = _number(F.col(after), tree) + 1
+    high = F.when(F.col(before).isNotNull(), _number(F.col(before), tree)).otherwise(F.lit(tree.last + 1))
+    width = F.col("_high") - F.col("_low")
+    # one level more than the logarithm says, in case it is rounded
+    top = F.least(F.lit(tree.levels), (F.floor(F.log2(width) / BITS) + 1).cast("int"))
+    level = F.col("_level")
+    begin, end = _above(F.col("_low"), level), _below(F.col("_high"), level)
+    begin_up, end_up = _above(F.col("_low"), level + 1), _below(F.col("_high"), level + 1)
+    spans = (
+        intervals.withColumns({"_low": low, "_high": high})
+        .where("_low < _high")
+        .withColumn("_level", F.explode(F.sequence(F.lit(0), top)))
+        .withColumns({"_begin": begin, "_end": end, "_begin_up": begin_up, "_end_up": end_up})
+        .where("_begin < _end")
+    )
+    # children of whole parents are left to them
+    wide = F.col("_begin_up") <= F.col("_end_up")
+    left = _numbers(F.col("_begin"), F.when(wide, F.shiftleft("_begin_up", BITS)).otherwise(F.col("_end")))
+    right = F.when(wide, _numbers(F.shiftleft("_end_up", BITS), F.col("_end"))).otherwise(_none())
+    pieces = spans.withColumn("_number", F.explode(F.concat(left, right)))
+    return pieces.drop("_low", "_high", "_begin", "_end", "_begin_up", "_end_up"), tree
+
+
+def _numbers(begin: Column, end: Column) -> Column:
+    """Numbers from ``begin`` up to, not including, ``end``."""
+    return F.when(begin < end, F.sequence(begin, end - 1)).otherwise(_none())
+
+
+def _none() -> Column:
+    return F.array().cast("array<bigint>")
