@@ -40,18 +40,22 @@ def explode_events(log: DataFrame, field_names: Sequence[str] | None = None) ->
     )
 
 
-def latest_values(log: DataFrame) -> DataFrame:
-    """Latest value of each signal as text, by (time_ns, seq).
+SIGNAL = ["segment_id", "source", "message", "signal"]
+
+
+def latest_samples(log: DataFrame) -> DataFrame:
+    """The sample of each signal that is last by (time_ns, seq); no time is the lowest.
 
     First the winning (time, seq) per signal, from names and times only and
     with a hash aggregate on one number; then the values of just the winning
     events. Taking the arg-max of the values directly would sort every sample.
     """
-    keys = ["segment_id", "source", "message", "signal"]
     # (time_ns, seq) as one number: seq is below 10**19, and 38 digits hold both
     wide = "decimal(38,0)"
     shift = F.lit(str(10**19)).cast("decimal(20,0)")
-    rank = (F.col("time_ns").cast("decimal(19,0)") * shift).cast(wide) + F.col("seq").cast(wide)
+    time = F.coalesce("time_ns", F.lit(-(2**63)))
+    rank = (time.cast("decimal(19,0)") * shift).cast(wide) + F.col("seq").cast(wide)
+    signal = F.struct(*SIGNAL).alias("_signal")
     events = log.where(F.col("kind") == EVENT)
     names = events.select(
         "seq",
@@ -62,16 +66,22 @@ def latest_values(log: DataFrame) -> DataFrame:
         F.explode(F.array_distinct(F.col("event.fields.name"))).alias("signal"),
     )
     winners = (
-        names.groupBy(*keys)
+        names.groupBy(*SIGNAL)
         .agg(F.max(rank.cast(wide)).alias("rank"))
-        .select(*keys, F.pmod("rank", shift.cast(wide)).cast("bigint").alias("seq"))
+        # one column, in which null names are names like others
+        .select(signal, F.pmod("rank", shift.cast(wide)).cast("bigint").alias("seq"))
     )
     side = settle(winners)
     picked = lookup_join(events, side.df.select("seq").distinct(), ["seq"], "left_semi", unique=True)
-    return lookup_join(explode_events(picked), side, [*keys, "seq"]).select(
-        *keys,
+    return lookup_join(explode_events(picked).select("*", signal), side, ["_signal", "seq"]).drop("_signal")
+
+
+def latest_values(log: DataFrame) -> DataFrame:
+    """Latest value of each signal as text, by (time_ns, seq)."""
+    return latest_samples(log).select(
+        *SIGNAL,
         "time_ns",
-        key_string(*[F.col(k) for k in keys]).alias("full_name"),
+        key_string(*[F.col(k) for k in SIGNAL]).alias("full_name"),
         render(F.col("value")).alias("value"),
     )
 

@@ -1,9 +1,10 @@
 """Latest values kept up to date by a stream.
 
-The stream's state holds, for each signal, the value of the greatest (time, seq) so
-far; late events therefore change nothing unless they are later in time. A micro-batch
-writes the signals it touched as a part of a levelled store, and merging keeps one row a
-signal. State and parts grow with the number of signals, not of events.
+A micro-batch finds the greatest (time, seq) of each signal it touched as the batch form
+does, so no task sorts its samples, and writes these signals as a part of a levelled
+store; reading and merging keep the greatest of all parts, one row a signal. Late events
+therefore change nothing unless they are later in time. Parts grow with the number of
+signals, not of events; the store is the only state.
 """
 
 from __future__ import annotations
@@ -14,10 +15,11 @@ from pyspark.sql import functions as F
 from tracelake.functions.identifiers import key_string
 from tracelake.functions.values import render
 from tracelake.model import VALUE_DDL
-from tracelake.operators.samples import explode_events
+from tracelake.operators.samples import SIGNAL, latest_samples
+from tracelake.session import scratch
 from tracelake.streaming import commits
 
-KEYS = ["segment_id", "source", "message", "signal"]
+KEYS = SIGNAL
 LATEST_DDL = (
     "segment_id STRING, source STRING, message STRING, signal STRING, "
     f"last STRUCT<time_ns: BIGINT, seq: BIGINT, value: {VALUE_DDL}>"
@@ -32,11 +34,16 @@ def _latest(rows: DataFrame) -> DataFrame:
 
 def start_latest(log: DataFrame, root: str, checkpoint: str, trigger: dict | None = None):
     """Start keeping the latest value of each signal of a streaming log under ``root``."""
-    samples = explode_events(log).select(*KEYS, F.struct("time_ns", "seq", "value").alias("last"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if commits.is_committed(batch.sparkSession, root, batch_id):
+            return
+        with scratch(batch.sparkSession):
+            changed = latest_samples(batch).select(*KEYS, F.struct("time_ns", "seq", "value").alias("last"))
+            upsert(changed, batch_id, root)
+
     return (
-        _latest(samples)
-        .writeStream.outputMode("update")
-        .foreachBatch(lambda batch, batch_id: upsert(batch, batch_id, root))
+        log.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
