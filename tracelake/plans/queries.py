@@ -60,6 +60,8 @@ LATE_AT = 60_000
 REPLAY_FROM_NS = 1_705_276_800_000_000_000
 REMOVED_AT = 450
 BATCH_OF = 100
+# Events of one file of a stream, about.
+FILE_EVENTS = 250_000
 
 
 def _big(c) -> Column:
@@ -800,11 +802,16 @@ def time_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams ---------------------------------------------------------------
 
 
+def _files(spark: SparkSession, sf_dir: str, least: int) -> int:
+    """Into how many files a stream of the events is written: none grows with the table."""
+    return max(least, -(-read_events(spark, sf_dir).count() // FILE_EVENTS))
+
+
 def _log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The derived log as a stream of files, several of them per micro-batch."""
-    path = new_folder(spark, "log-stream")
-    sample_log(spark, sf_dir).repartition(8, "segment_id").write.parquet(path)
-    return spark.readStream.schema(LOG_DDL).option("maxFilesPerTrigger", 3).parquet(path)
+    """The derived log as a stream of files in order, three eighths of them per micro-batch."""
+    path, files = new_folder(spark, "log-stream"), _files(spark, sf_dir, 8)
+    sample_log(spark, sf_dir).repartitionByRange(files, "seq").write.parquet(path)
+    return spark.readStream.schema(LOG_DDL).option("maxFilesPerTrigger", -(-files * 3 // 8)).parquet(path)
 
 
 def stream_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -897,9 +904,10 @@ def stream_late_subscriber(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status per stream after ingesting the wire batches from files."""
     path, root = new_folder(spark, "wire-batches"), new_folder(spark, "lake")
-    _wire_batches(spark, sf_dir).repartition(4).write.parquet(path)
+    files = _files(spark, sf_dir, 4)
+    _wire_batches(spark, sf_dir).repartition(files).write.parquet(path)
     stream = start_ingest(
-        batches.stream_batches(spark, path, maxFilesPerTrigger=2),
+        batches.stream_batches(spark, path, maxFilesPerTrigger=-(-files // 2)),
         root,
         new_folder(spark, "lake-offsets"),
     )

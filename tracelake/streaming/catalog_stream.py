@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelake.model import VALUE_DDL
+from tracelake.model import EVENT, VALUE_DDL
 from tracelake.operators.catalog import (
     SCHEMA_STATE_DDL,
     SEGMENT_STATE_DDL,
@@ -63,6 +63,9 @@ def update_catalog(
     if commits.is_committed(spark, root, batch_id):
         return
     folder = commits.new_part(batch_id, batch_id)
+    if mode == "update":
+        # events do not count, and are neither joined nor kept
+        batch = batch.where(F.col("kind") != EVENT)
     if tombstones is not None:
         batch = drop_removed(batch, tombstones)
     # the three tables of the fold read the batch once
