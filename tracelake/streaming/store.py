@@ -98,16 +98,14 @@ def ingest_batch(raw: DataFrame, batch_id: int, root: str, *, merging: bool = Tr
         return
     folder = commits.new_part(batch_id, batch_id)
     with scratch(spark):
-        checked = check_messages(flatten_batches(raw, now.next_seq)).persist()
-        try:
-            bad = checked.where(F.col("error").isNotNull()).select(*_columns(spark, QUARANTINE_DDL))
-            bad.write.mode("overwrite").parquet(f"{root}/quarantine/{folder}")
-            status = publish_status(checked)
-            status.write.mode("overwrite").parquet(f"{root}/status/{folder}")
-            after = now.next_seq + checked.count()
-            _write_log(accepted(checked), batch_id, root, folder, None, merging)
-        finally:
-            checked.unpersist()
+        # the messages are stored already: reading them again costs less than keeping them
+        checked = check_messages(flatten_batches(raw, now.next_seq))
+        bad = checked.where(F.col("error").isNotNull()).select(*_columns(spark, QUARANTINE_DDL))
+        bad.write.mode("overwrite").parquet(f"{root}/quarantine/{folder}")
+        status = publish_status(checked)
+        status.write.mode("overwrite").parquet(f"{root}/status/{folder}")
+        after = now.next_seq + checked.count()
+        _write_log(accepted(checked), batch_id, root, folder, None, merging)
         commits.commit(spark, root, batch_id, folder, after)
     if merging:
         merge_store(spark, root)
