@@ -229,3 +229,18 @@ def test_blanks_at_the_end_of_a_lowered_text(tokenizer):
         encoder = p.Encoder(file.read())
     for text in ("½\t", "ab\t", "AB\n", "é ", "x y\v"):
         assert encoder(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_ids_of_blocks_of_texts_and_distinct_ones(tokenizer, monkeypatch):
+    with open(PATH, encoding="utf-8") as file:
+        encoder = p.Encoder(file.read())
+    texts = ["", "one", long_text(3, 40), "", "中文 x", long_text(4, 7), "two words", " "]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    for words in (1, 8, 1 << 15):
+        monkeypatch.setattr(p, "STEP_WORDS", words)
+        assert [ids.tolist() for ids in encoder.encode(texts)] == want
+    distinct, rng = p.Distinct(6400), np.random.default_rng(1)
+    for size in (0, 1, 2, 100, 199, 200, 5000):
+        ids = rng.integers(0, 6400, size).astype(np.uint16)
+        got = distinct(ids)
+        assert got.dtype == np.int64 and got.tolist() == np.unique(ids).tolist()

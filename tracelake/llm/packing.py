@@ -53,6 +53,8 @@ SHARD_TOKENS = 1 << 20
 TASK_TOKENS = 64 << 20
 # Characters of text that are encoded together.
 STEP_CHARS = 8 << 20
+# Words whose ids are put together at once, or those of one text.
+STEP_WORDS = 1 << 15
 # Words of a generation whose ids a worker remembers.
 REMEMBERED = 500_000
 
@@ -170,14 +172,21 @@ class Encoder:
         begins = begins.astype(small)
         word = numbered.indices.to_numpy()
         ends = cut.offsets.to_numpy()
-        for low, high in zip(ends[:-1].tolist(), ends[1:].tolist()):
-            mine = word[low:high]
+        text = 0
+        while text < len(ends) - 1:
+            # texts of few words are put together at once
+            last = max(int(np.searchsorted(ends, ends[text] + STEP_WORDS, "right")) - 1, text + 1)
+            mine = word[ends[text] : ends[last]]
             count = lengths[mine]
             after = np.cumsum(count, dtype=np.int64)
             size = int(after[-1]) if len(after) else 0
             wide = small if size < 1 << 31 else np.int64
             before = (after - count).astype(wide)
-            yield flat[np.repeat(begins[mine].astype(wide, copy=False) - before, count) + np.arange(size, dtype=wide)]
+            ids = flat[np.repeat(begins[mine].astype(wide, copy=False) - before, count) + np.arange(size, dtype=wide)]
+            bounds = np.append(0, after)[ends[text : last + 1] - ends[text]].tolist()
+            for low, high in zip(bounds[:-1], bounds[1:]):
+                yield ids[low:high]
+            text = last
 
 
 _encoders: dict[str, Encoder] = {}
@@ -219,12 +228,16 @@ def _encoded(docs: DataFrame, tokenizer_json: str, window: int, end_id: int) ->
 
 
 class Distinct:
-    """The distinct ids of an array, in order, by marks on all ids."""
+    """The distinct ids of an array, in order: sorted if they are few, else by marks on all ids."""
 
     def __init__(self, size: int):
         self._marks = np.zeros(size, dtype=bool)
 
     def __call__(self, ids: np.ndarray) -> np.ndarray:
+        if 0 < len(ids) < len(self._marks) >> 5:
+            # a radix sort, for numbers of two bytes
+            ids = np.sort(ids, kind="stable")
+            return ids[np.append(True, ids[1:] != ids[:-1])].astype(np.int64)
         self._marks[ids] = True
         found = np.flatnonzero(self._marks)
         self._marks[found] = False
