@@ -325,3 +325,31 @@ def test_repeated_lines_are_compared_in_little_time():
     begun = time.process_time()
     found = passages.shared_passages(one, two)
     assert time.process_time() - begun < 5 and found[0][:4] == (0, 60, 0, 60)
+
+
+def test_repetitions_are_reported_once():
+    words = "alpha beta gamma delta eta".split()
+    one = passages.tokens(" ".join(" ".join([w] * 70) for w in words).encode())
+    two = passages.tokens(" ".join(" ".join([w] * 200) for w in reversed(words)).encode())
+    for found in (passages.exact_passages(one, two), passages.shared_passages(one, two)):
+        assert sorted((n, c // 200) for _, n, c, _, _ in found) == [(70, k) for k in range(5)]
+    # the same for lines, in a text that has them between its own words
+    lines = [long_text(1200 + k, 20) for k in range(3)]
+    one = passages.tokens(" ".join(" ".join([x] * 8) for x in lines).encode())
+    text = " ".join(f"{long_text(1300 + k, 60)} " + " ".join([x] * 30) for k, x in enumerate(lines))
+    two = passages.tokens(text.encode())
+    found = passages.exact_passages(one, two)
+    held = {tuple(two[s : s + passages.LENGTH]) for _, n, c, _, _ in found for s in range(c, c + n - 49)}
+    stretches = [
+        {tuple(x[s : s + passages.LENGTH]) for s in range(len(x) - passages.LENGTH + 1)} for x in (one, two)
+    ]
+    assert held == stretches[0] & stretches[1] and len(found) == 3
+
+
+def test_repeated_lines_with_a_changed_word_are_similar():
+    first, second = long_text(1400, 30).split(), long_text(1401, 30).split()
+    changed = [*second[:12], "odd", *second[13:]]
+    one = passages.tokens(" ".join([*first * 30, *second * 40]).encode())
+    two = passages.tokens(" ".join([*first * 30, *changed * 40]).encode())
+    (a, n, c, m, similarity), = passages.shared_passages(one, two)
+    assert (a, n, c, m) == (0, 2100, 0, 2100) and 0.8 <= similarity < 0.9
