@@ -353,3 +353,24 @@ def test_repeated_lines_with_a_changed_word_are_similar():
     two = passages.tokens(" ".join([*first * 30, *changed * 40]).encode())
     (a, n, c, m, similarity), = passages.shared_passages(one, two)
     assert (a, n, c, m) == (0, 2100, 0, 2100) and 0.8 <= similarity < 0.9
+
+
+@pytest.mark.parametrize("holders, small", [(0, 32), (6, 4)])
+def test_a_first_text_hides_no_link_between_two_similar_ones(spark, monkeypatch, holders, small):
+    monkeypatch.setattr(passages, "SMALL", small)
+    rows = []
+    for k in range(4):
+        words = long_text(2000 + k, 120).split()
+        # texts that have a line of the passage, in some cases more than a small group
+        line = " ".join(words[:28])
+        rows += [(100 * k + h, f"{line} {long_text(2100 + 50 * k + h, 40)}") for h in range(holders)]
+        # the two changed ones are similar, but have no equal 50 words
+        for n, at in enumerate((None, 30, 80)):
+            passage = " ".join(w if x != at else f"odd{n}" for x, w in enumerate(words))
+            around = [long_text(2600 + 50 * k + 10 * n + x, 30) for x in range(2)]
+            rows.append((100 * k + 50 + n, f"{around[0]} {passage} {around[1]}"))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {(r.doc_id, r.source_id) for r in passages.repeated_passages(df).collect()}
+    tokens = {k: passages.tokens(text.encode()) for k, text in rows}
+    brute = {(b, a) for b in tokens for a in tokens if a < b and passages.shared_passages(tokens[a], tokens[b])}
+    assert len(brute) == 12 and found == brute
