@@ -374,3 +374,59 @@ def test_a_first_text_hides_no_link_between_two_similar_ones(spark, monkeypatch,
     tokens = {k: passages.tokens(text.encode()) for k, text in rows}
     brute = {(b, a) for b in tokens for a in tokens if a < b and passages.shared_passages(tokens[a], tokens[b])}
     assert len(brute) == 12 and found == brute
+
+
+def test_links_are_merged_in_any_parts():
+    rng = np.random.default_rng(8)
+    for _ in range(50):
+        count = int(rng.integers(1, 60))
+        first = rng.integers(0, 400, count)
+        last = first + rng.integers(passages.LENGTH - 1, 120, count)
+        links = [rng.integers(0, 2, count), rng.integers(2, 4, count), 1 << rng.integers(0, 6, count), first, last,
+                 first + 7, last + 7]
+        brute = []
+        for a, b in sorted(set(zip(links[0].tolist(), links[1].tolist()))):
+            group = None
+            for x in sorted((r for r in zip(*[c.tolist() for c in links]) if r[:2] == (a, b)), key=lambda r: r[3:5]):
+                if group is None or x[3] + passages.LENGTH - 1 > group[4]:
+                    group = list(x)
+                    brute.append(group)
+                group[2] |= x[2]
+                group[4], group[5], group[6] = max(group[4], x[4]), min(group[5], x[5]), max(group[6], x[6])
+        part = rng.random(count) < 0.5
+        halves = [passages.merged([c[m] for c in links]) for m in (part, ~part)]
+        for found in (passages.merged(links), passages.merged([np.concatenate(c) for c in zip(*halves)])):
+            assert [list(x) for x in zip(*[c.tolist() for c in found])] == brute
+
+
+def test_a_stretch_is_hashed_once_for_a_group_of_pairs(spark, monkeypatch):
+    import pyarrow as pa
+
+    hashed = []
+    plain = passages.tokens
+    monkeypatch.setattr(passages, "tokens", lambda text: hashed.append(text) or plain(text))
+    text = " ".join(f"w{k}" for k in range(80)).encode()
+    texts = [(1, 1, k, None, 0, 75, None, None, [text]) for k in range(9)]
+    pairs = [(1, 1, a, b, 0, 75, 0, 75, None) for b in range(9) for a in range(b)]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.list_(pa.binary())]
+    columns = [pa.array(c, kind) for c, kind in zip(zip(*texts, *pairs), kinds)]
+    batch = pa.RecordBatch.from_arrays(columns, names=[f"c{k}" for k in range(9)])
+    found = [x for part in passages._verified(iter([batch])) for x in part.to_pylist()]
+    assert len(hashed) == 9 and len(found) == 36 and all(x["words"] == 80 and x["shown"] for x in found)
+
+
+@pytest.mark.parametrize("many", [2, 5, 1000])
+def test_frequent_keys_give_the_same_passages(spark, monkeypatch, many):
+    rng = random.Random(5)
+    line = [f"l{k}" for k in range(60)]
+    rows = []
+    for k in range(12):
+        own = [f"d{k % 4}x{n}" for n in range(70)]
+        own[rng.randrange(70)] = f"y{k}"
+        rows.append((k, " ".join([*own, *line, *[f"z{k}n{n}" for n in range(60)]])))
+    monkeypatch.setattr(passages, "SMALL", 4)
+    monkeypatch.setattr(passages, "MANY", many)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    found = {(r.doc_id, r.source_id) for r in passages.repeated_passages(df).collect()}
+    # every text has the line of the first, and the part of its own kind
+    assert {(k, 0) for k in range(1, 12)} <= found and {(k, k - 4) for k in range(4, 12)} <= found
