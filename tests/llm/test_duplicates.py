@@ -376,6 +376,54 @@ def test_a_first_text_hides_no_link_between_two_similar_ones(spark, monkeypatch,
     assert len(brute) == 12 and found == brute
 
 
+def test_similar_texts_of_a_large_group_are_linked_each_with_each(spark):
+    words = long_text(3000, 95).split()
+    rows = []
+    for k in range(passages.SMALL + 8):
+        at = 46 + k % 3
+        passage = " ".join(w if x != at else f"odd{k}" for x, w in enumerate(words))
+        rows.append((k, f"{long_text(3100 + k, 30)} {passage} {long_text(3200 + k, 30)}"))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {(r.doc_id, r.source_id) for r in passages.repeated_passages(df).collect()}
+    tokens = {k: passages.Stretch(passages.tokens(text.encode())) for k, text in rows}
+    brute = {(b, a) for b in tokens for a in range(b) if passages._compared(tokens[a], tokens[b])[0]}
+    assert len(brute) == len(rows) * (len(rows) - 1) // 2 and found == brute
+
+
+@pytest.mark.parametrize("block", [512, 7])
+def test_blocks_of_a_group_meet_each_once(block):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    size = 40
+    names = ["key", "doc", "first", "last", "begin", "end", "others", "tokens"]
+    keys = [np.sort(rng.choice(6, 3, replace=False)) * 8 + np.arange(1, 4) for _ in range(size)]
+    tokens = [rng.choice(60, 50, replace=False).astype(np.uint16) for _ in range(size)]
+    known = [(0, int(rng.integers(0, 51))) for _ in range(size)]
+    rows = [
+        (64, k, 0, 49, *known[k], keys[k].astype(np.int32).tobytes(), tokens[k].tobytes()) for k in range(size)
+    ]
+    blocks = -(-size // block)
+    dealt = [
+        (*row, k % blocks, min(k % blocks, n), max(k % blocks, n)) for k, row in enumerate(rows) for n in range(blocks)
+    ]
+    dealt.sort(key=lambda r: (r[-2], r[-1]))
+    kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.binary(), pa.binary(), *[pa.int32()] * 3]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(c, kind) for c, kind in zip(zip(*dealt), kinds)], names=[*names, "own", "x", "y"]
+    )
+    found = sorted((x["a"], x["b"], x["functions"]) for part in passages._region_links(iter([batch])) for x in part.to_pylist())
+    brute = []
+    for a in range(size):
+        for b in range(a + 1, size):
+            functions = 1 | sum({1 << (int(k) & 7) for k in set(keys[a]) & set(keys[b])})
+            common = set(tokens[a].tolist()) & set(tokens[b].tolist())
+            apart = all(common - set(tokens[x][slice(*known[x])].tolist()) for x in (a, b))
+            if functions.bit_count() >= 3 and len(common) >= 37 and apart:
+                brute.append((a, b, functions))
+    assert brute and found == brute
+
+
 def test_links_are_merged_in_any_parts():
     rng = np.random.default_rng(8)
     for _ in range(50):
