@@ -1,6 +1,7 @@
 """Exact and near-duplicates, repeated passages and components against brute force."""
 
 import hashlib
+import os
 import random
 import time
 import re
@@ -424,6 +425,98 @@ def test_blocks_of_a_group_meet_each_once(block):
     assert brute and found == brute
 
 
+def test_only_windows_whose_keys_come_twice_are_dealt_out():
+    import pyarrow as pa
+
+    shared = long_text(4000, 90)
+    texts = [f"{long_text(4100 + k, 300)} {shared} {long_text(4200 + k, 300)}" for k in range(6)]
+    texts += [long_text(4300 + k, 700) for k in range(6)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(12), pa.int64()), pa.array(texts)], names=["text_key", "text"]
+    )
+    halves = [batch.slice(0, 5), batch.slice(5)]
+    dealt = [r for half in halves for b in passages._key_parts(iter([half]), 3) for r in b.to_pylist()]
+    dealt = pa.RecordBatch.from_pylist(
+        sorted(dealt, key=lambda r: r["part"]), pa.schema([("part", pa.int32()), ("codes", pa.binary())])
+    )
+    filters = [tuple(r.values()) for b in passages._meeting_bits(iter([dealt])) for r in b.to_pylist()]
+    meeting = passages.MeetingKeys(3, filters)
+    words = [t.encode().split() for t in texts]
+    key, text_key = passages._window_columns(list(range(12)), words)[:2]
+    holders = {}
+    for k, t in zip(key.tolist(), text_key.tolist()):
+        holders.setdefault(k, set()).add(t)
+    several = {k for k, h in holders.items() if len(h) > 1}
+    kept = [set(b.column("key").to_pylist()) for h in halves for b in passages._windows(iter([h]), meeting)]
+    kept = set().union(*kept)
+    assert several <= kept and len(kept) < len(several) + 0.1 * len(holders) < len(holders)
+
+
+def test_side_tables_of_passages_are_deleted(spark, tmp_path):
+    from tracelake.llm.common import finished, stored
+
+    made = []
+
+    def make():
+        made.append(stored(spark.range(9), "side"))
+        return made[0].where("id > 3")
+
+    found = finished(spark, "whole", make)
+    assert sorted(r.id for r in found.collect()) == [4, 5, 6, 7, 8]
+    folder = re.sub(r"^file:/*", "/", found.inputFiles()[0]).rsplit("/", 1)[0]
+    side = re.sub(r"^file:/*", "/", made[0].inputFiles()[0]).rsplit("/", 1)[0]
+    assert os.path.isdir(folder) and not os.path.exists(side)
+
+
+def test_outermost_passages_once_each():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    rows = sorted(
+        (int(rng.integers(0, 2)), int(rng.integers(2, 4)), *(int(x) for x in rng.integers(0, 6, 4)), float(rng.integers(0, 2)))
+        for _ in range(200)
+    )
+    kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.float64()]
+    names = ["a", "b", "first", "words", "first2", "words2", "similarity"]
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*part), kinds)], names=names)
+        for part in (rows[:70], rows[70:])
+    ]
+
+    def holds(y, x):
+        ends = all(y[k] <= x[k] and x[k] + x[k + 1] <= y[k] + y[k + 1] for k in (2, 4))
+        return x[:2] == y[:2] and ends and (y[3] > x[3] or y[5] > x[5])
+
+    found = sorted(tuple(r.values()) for b in passages._outermost(iter(batches)) for r in b.to_pylist())
+    assert found == sorted(x for x in set(rows) if not any(holds(y, x) for y in rows))
+
+
+def test_texts_share_windows_of_larger_groups():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(7)
+    windows = [
+        [{"key": int(k), "first": int(k) + n, "last": int(k) + 50 + n} for k in rng.choice(48, 8, replace=False) if k % 8 < 6]
+        for n in range(60)
+    ]
+    kind = pa.list_(pa.struct([("key", pa.int64()), ("first", pa.int32()), ("last", pa.int32())]))
+    functions = [1 << int(rng.integers(0, 6)) for _ in range(30)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(30)), pa.array(range(30, 60)), pa.array(functions, pa.int32()),
+         pa.array(windows[:30], kind), pa.array(windows[30:], kind)],
+        names=["a", "b", "functions", "windows_a", "windows_b"],
+    )
+    brute = []
+    for a, known in enumerate(functions):
+        shared = [(x, y) for x in windows[a] for y in windows[30 + a] if x["key"] == y["key"]]
+        for x, _ in shared:
+            known |= 1 << (x["key"] & 7)
+        if known.bit_count() >= passages.ENOUGH:
+            brute += [(a, 30 + a, 1 << (x["key"] & 7), x["first"], x["last"], y["first"], y["last"]) for x, y in shared]
+    found = sorted(tuple(r.values()) for b in passages._shared_windows(iter([batch])) for r in b.to_pylist())
+    assert brute and found == sorted(brute)
+
+
 def test_links_are_merged_in_any_parts():
     rng = np.random.default_rng(8)
     for _ in range(50):
