@@ -450,6 +450,10 @@ def test_only_windows_whose_keys_come_twice_are_dealt_out():
     kept = [set(b.column("key").to_pylist()) for h in halves for b in passages._windows(iter([h]), meeting)]
     kept = set().union(*kept)
     assert several <= kept and len(kept) < len(several) + 0.1 * len(holders) < len(holders)
+    # texts of which no key meets, and no text at all
+    none = passages.MeetingKeys(3, [])
+    assert sum(b.num_rows for b in passages._windows(iter([batch]), none)) == 0
+    assert not list(passages._key_parts(iter([batch.slice(0, 0)]), 3))
 
 
 def test_side_tables_of_passages_are_deleted(spark, tmp_path):
@@ -468,6 +472,13 @@ def test_side_tables_of_passages_are_deleted(spark, tmp_path):
     assert os.path.isdir(folder) and not os.path.exists(side)
 
 
+def test_regions_without_tokens_are_not_alike():
+    group = {n: np.zeros(3, dtype=np.int64) for n in ("begin", "end")}
+    full = np.arange(50, dtype=np.uint16).tobytes()
+    assert not passages._alike(group, [b""] * 3).any()
+    assert passages._alike(group, [full, b"", full])[0].tolist() == [True, False, True]
+
+
 def test_outermost_passages_once_each():
     import pyarrow as pa
 
